@@ -1,0 +1,18 @@
+"""Broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension rows we are willing to ship to every executor (a few MB).
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``
+    unchanged (then AQE decides from runtime shuffle sizes, and a large side
+    stays a shuffled sort-merge join).  The check reads at most
+    ``max_rows + 1`` rows."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
