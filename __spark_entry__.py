@@ -66,6 +66,188 @@ def _encounter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encounter_counts(src["encounter_diagnoses"], src["encounter_procedures"])
 
 
+# ---------------------------------------------------------------- incremental scenario
+# Prior state = sources as of PRIOR_WATERMARK (FIXTURES.md §3), loaded by a
+# full refresh on PRIOR_AS_OF; the new state = the full sources on AS_OF.
+
+
+def _prior(spark: SparkSession, sf_dir: str):
+    from wardstar.sources.fixtures import PRIOR_AS_OF, prior_sources
+
+    src = _src(spark, sf_dir)
+    return src, build_star(prior_sources(src), PRIOR_AS_OF)
+
+
+def _prior_control(spark: SparkSession):
+    import datetime as dt
+
+    from wardstar.sources.fixtures import PRIOR_AS_OF, PRIOR_WATERMARK
+    from wardstar.sources.snapshots import CONTROL_SCHEMA
+
+    row = (1, "FULL", dt.datetime.fromisoformat(PRIOR_WATERMARK),
+           dt.datetime.fromisoformat(PRIOR_AS_OF + " 00:00:00"), None, "SUCCESS", None)
+    return spark.createDataFrame([row], CONTROL_SCHEMA)
+
+
+def _cutoff(spark: SparkSession):
+    from wardstar.operators import incremental as I
+
+    return I.cutoff_for(I.read_watermark(_prior_control(spark)), AS_OF, 7)
+
+
+def _affected_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.operators import incremental as I
+
+    return I.affected_set(_src(spark, sf_dir), _cutoff(spark))
+
+
+def _affected_set_readmission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.operators import incremental as I
+
+    src, prev = _prior(spark, sf_dir)
+    aff = I.affected_set(src, _cutoff(spark))
+    return I.widen_for_readmission(aff, src, prev["fact_encounters"], prev, prev.calendar[0])
+
+
+def _affected_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.operators import incremental as I
+    from wardstar.plans.star import natural_fact
+
+    src, prev = _prior(spark, sf_dir)
+    aff = I.affected_set(src, _cutoff(spark))
+    view = dict(prev)
+    view["fact_encounters"] = I.affected_delete(prev["fact_encounters"], aff)
+    return natural_fact(view)
+
+
+def _incremental_star(spark: SparkSession, sf_dir: str):
+    from wardstar.plans.etl import incremental_tables
+
+    src, prev = _prior(spark, sf_dir)
+    out, _ = incremental_tables(prev, _prior_control(spark), src, AS_OF)
+    return out
+
+
+def _fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.plans.star import natural_fact
+
+    return natural_fact(_incremental_star(spark, sf_dir))
+
+
+def _bridge_dx_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.plans.star import natural_bridge_dx
+
+    return natural_bridge_dx(_incremental_star(spark, sf_dir))
+
+
+def _bridge_px_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.plans.star import natural_bridge_px
+
+    return natural_bridge_px(_incremental_star(spark, sf_dir))
+
+
+def _scd2_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from wardstar.functions.dates import age_group, lit_ts
+    from wardstar.operators.dims import PATIENT_ATTRS
+    from wardstar.operators.scd import scd2
+    from wardstar.sources.fixtures import PRIOR_WATERMARK
+
+    src, prev = _prior(spark, sf_dir)
+    changes = src["patients"].where(F.col("last_updated") > lit_ts(PRIOR_WATERMARK))
+    return scd2(prev["dim_patient"], changes, "patient_id", "patient_key", PATIENT_ATTRS, AS_OF,
+                derived={"age_group": lambda day: age_group(F.col("date_of_birth"), day)})
+
+
+def _type1_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.operators.dims import dim_diagnosis
+    from wardstar.operators.scd import type1_upsert
+
+    src = _src(spark, sf_dir)
+    prior = dim_diagnosis(src["diagnoses_v1"])
+    return type1_upsert(prior, src["diagnoses"], "diagnosis_id", "diagnosis_key",
+                        ["icd10_code", "icd10_description"])
+
+
+def _stamp_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from wardstar.operators.scd import stamp_changes
+    from wardstar.sources.fixtures import PRIOR_WATERMARK
+
+    src = _src(spark, sf_dir)
+    prev = src["patients_v1"].withColumn("last_updated", F.lit(PRIOR_WATERMARK).cast("timestamp_ntz"))
+    curr = src["patients"].drop("last_updated")
+    return stamp_changes(prev, curr, ["patient_id"], AS_OF + " 00:00:00")
+
+
+def _schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.functions.dates import OPEN_END_DATE
+    from wardstar.operators.scd import evolve
+
+    v0 = _star(spark, sf_dir)["dim_patient"].drop("start_date", "end_date", "is_current")
+    return evolve(v0, {"start_date": ("date", None), "end_date": ("date", OPEN_END_DATE),
+                       "is_current": ("boolean", True)})
+
+
+def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.functions.keys import dense_keys
+
+    ed = _src(spark, sf_dir)["encounter_diagnoses"].select("encounter_id", "diagnosis_sequence", "diagnosis_id")
+    return dense_keys(ed, ["encounter_id", "diagnosis_sequence", "diagnosis_id"], "row_key")
+
+
+def _warehouse(spark: SparkSession):
+    import uuid
+
+    from wardstar.session import checkpoint_dir
+    from wardstar.sources.snapshots import Warehouse
+
+    return Warehouse(spark, f"{checkpoint_dir(spark)}/wardstar-warehouse-{uuid.uuid4().hex}", create=True)
+
+
+def _full_then_incremental(spark: SparkSession, sf_dir: str, incremental: bool = True):
+    import datetime as dt
+
+    from wardstar.plans.etl import full_refresh, incremental_run
+    from wardstar.sources.fixtures import PRIOR_AS_OF, PRIOR_WATERMARK, prior_sources
+
+    src = _src(spark, sf_dir)
+    wh = _warehouse(spark)
+    full_refresh(prior_sources(src), wh, PRIOR_AS_OF, dt.datetime.fromisoformat(PRIOR_WATERMARK))
+    if incremental:
+        incremental_run(src, wh, AS_OF, dt.datetime.fromisoformat(AS_OF + " 00:00:00"))
+    return wh
+
+
+def _watermark_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.operators.incremental import watermark_frame
+
+    return watermark_frame(_full_then_incremental(spark, sf_dir, incremental=False).control())
+
+
+def _etl_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _full_then_incremental(spark, sf_dir).control()
+
+
+def _incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.plans.star import STAR_TABLES, natural_fact
+
+    return natural_fact(_full_then_incremental(spark, sf_dir).tables(STAR_TABLES))
+
+
+def _full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import datetime as dt
+
+    from wardstar.plans.etl import full_refresh
+    from wardstar.sources.fixtures import PRIOR_WATERMARK
+
+    wh = _warehouse(spark)
+    full_refresh(_src(spark, sf_dir), wh, AS_OF, dt.datetime.fromisoformat(PRIOR_WATERMARK))
+    return wh.tables(("fact_encounters",))["fact_encounters"]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "q1_monthly_encounters_oltp": _oltp(A.q1_monthly_encounters_oltp),
@@ -88,6 +270,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["bridge_px"] = _table("bridge_encounter_procedures")
     q["encounter_counts"] = _encounter_counts
     q["readmission_flag"] = _readmission
+    q["surrogate_keys"] = _surrogate_keys
+    q["schema_evolution"] = _schema_evolution
+    q["stamp_changes"] = _stamp_changes
+    q["type1_upsert"] = _type1_upsert
+    q["scd2_patient"] = _scd2_patient
+    q["affected_set"] = _affected_set
+    q["affected_set_readmission"] = _affected_set_readmission
+    q["affected_delete"] = _affected_delete
+    q["fact_incremental"] = _fact_incremental
+    q["bridge_dx_incremental"] = _bridge_dx_incremental
+    q["bridge_px_incremental"] = _bridge_px_incremental
+    q["watermark_read"] = _watermark_read
+    q["full_refresh"] = _full_refresh
+    q["incremental_run"] = _incremental_run
+    q["etl_control"] = _etl_control
     return q
 
 

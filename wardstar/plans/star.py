@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import bridges, dims, fact
 
@@ -71,6 +72,11 @@ class LazyStar(Mapping[str, DataFrame]):
             self._built[name] = self._build(name)
         return self._built[name]
 
+    def materialize(self, name: str, df: DataFrame) -> None:
+        """Replace a table by its stored copy, so later tables read it back
+        (each table is materialised before the next one reads it)."""
+        self._built[name] = df
+
     def __iter__(self) -> Iterator[str]:
         return iter(STAR_TABLES)
 
@@ -85,3 +91,53 @@ def build_star(
     load_date: str | None = None,
 ) -> LazyStar:
     return LazyStar(src, as_of, calendar, load_date)
+
+
+def natural_fact(star: Mapping[str, DataFrame]) -> DataFrame:
+    """The fact with every surrogate key replaced by its natural key (and
+    calendar keys by dates): comparable across loads whose keys differ."""
+    f = star["fact_encounters"]
+    dd = star["dim_date"].select("date_key", "calendar_date")
+
+    def day(col: str, alias: str) -> DataFrame:
+        return dd.select(F.col("date_key").alias(col), F.col("calendar_date").alias(alias))
+
+    return (
+        f.join(star["dim_patient"].select("patient_key", "patient_id"), "patient_key", "left")
+        .join(star["dim_provider"].select("provider_key", "provider_id"), "provider_key", "left")
+        .join(star["dim_specialty"].select("specialty_key", "specialty_id"), "specialty_key", "left")
+        .join(star["dim_department"].select("department_key", "department_id"), "department_key", "left")
+        .join(star["dim_encounter_type"].select("encounter_type_key", F.col("type_name").alias("encounter_type")),
+              "encounter_type_key", "left")
+        .join(day("encounter_date_key", "encounter_day"), "encounter_date_key", "left")
+        .join(day("discharge_date_key", "discharge_day"), "discharge_date_key", "left")
+        .join(day("claim_date_key", "claim_day"), "claim_date_key", "left")
+        .select(*NATURAL_FACT_COLUMNS)
+    )
+
+
+NATURAL_FACT_COLUMNS = (
+    "encounter_id", "patient_id", "provider_id", "specialty_id", "department_id", "encounter_type",
+    "encounter_day", "discharge_day", "claim_day", "diagnosis_count", "procedure_count",
+    "total_allowed", "claim_amount", "encounter_duration_hours", "is_readmission",
+)
+
+
+def natural_bridge_dx(star: Mapping[str, DataFrame]) -> DataFrame:
+    return (
+        star["bridge_encounter_diagnoses"]
+        .join(star["fact_encounters"].select("encounter_key", "encounter_id"), "encounter_key")
+        .join(star["dim_diagnosis"].select("diagnosis_key", "diagnosis_id"), "diagnosis_key")
+        .select("encounter_id", "diagnosis_id", "diagnosis_sequence")
+    )
+
+
+def natural_bridge_px(star: Mapping[str, DataFrame]) -> DataFrame:
+    return (
+        star["bridge_encounter_procedures"]
+        .join(star["fact_encounters"].select("encounter_key", "encounter_id"), "encounter_key")
+        .join(star["dim_procedure"].select("procedure_key", "procedure_id"), "procedure_key")
+        .join(star["dim_date"].select(F.col("date_key").alias("procedure_date_key"),
+                                      F.col("calendar_date").alias("procedure_date")), "procedure_date_key")
+        .select("encounter_id", "procedure_id", "procedure_date")
+    )
