@@ -248,6 +248,70 @@ def _full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.tables(("fact_encounters",))["fact_encounters"]
 
 
+# ---------------------------------------------------------------- quality and extras
+
+
+def _dq(kind: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from wardstar.operators import quality as Q
+
+        src = _src(spark, sf_dir)
+        star = build_star(src, AS_OF)
+        tables = {**src, **{t: star[t] for t in star}}
+        if kind == "unique":
+            return Q.dq_unique(tables, Q.SOURCE_UNIQUE + Q.STAR_UNIQUE)
+        if kind == "orphans":
+            return Q.dq_orphans(tables, Q.SOURCE_FOREIGN + Q.STAR_FOREIGN)
+        return Q.dq_nulls(tables, Q.STAR_NOT_NULL)
+
+    return run
+
+
+def _dq_missing_discharge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.operators.quality import dq_missing_discharge
+
+    return dq_missing_discharge(_src(spark, sf_dir)["encounters"])
+
+
+def _reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.operators.quality import reconcile_counts
+
+    src = _src(spark, sf_dir)
+    return reconcile_counts(src, build_star(src, AS_OF))
+
+
+def _readmission_same_specialty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.operators.readmission import readmission_flag
+
+    src = _src(spark, sf_dir)
+    e = src["encounters"].join(src["providers"].select("provider_id", "specialty_id"), "provider_id")
+    return readmission_flag(e, match_cols=("patient_id", "specialty_id")).select(
+        "encounter_id", "patient_id", "specialty_id", "is_readmission"
+    )
+
+
+def _fact_unknown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.operators.fact import fact_encounters
+
+    src = _src(spark, sf_dir)
+    star = build_star(src, AS_OF)
+    return fact_encounters(src, star, star.calendar, load_date=AS_OF, unknown_key=-1)
+
+
+def _monthly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.plans.summaries import monthly_summary
+
+    return monthly_summary(_star(spark, sf_dir))
+
+
+def _fact_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardstar.plans.summaries import fact_billing
+
+    src = _src(spark, sf_dir)
+    star = build_star(src, AS_OF)
+    return fact_billing(src["billing"], star, star.calendar)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "q1_monthly_encounters_oltp": _oltp(A.q1_monthly_encounters_oltp),
@@ -285,6 +349,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["full_refresh"] = _full_refresh
     q["incremental_run"] = _incremental_run
     q["etl_control"] = _etl_control
+    q["dq_unique"] = _dq("unique")
+    q["dq_orphans"] = _dq("orphans")
+    q["dq_nulls"] = _dq("nulls")
+    q["dq_missing_discharge"] = _dq_missing_discharge
+    q["reconcile_counts"] = _reconcile_counts
+    q["readmission_flag_same_specialty"] = _readmission_same_specialty
+    q["fact_encounters_unknown_keys"] = _fact_unknown_keys
+    q["monthly_summary"] = _monthly_summary
+    q["fact_billing"] = _fact_billing
     return q
 
 

@@ -63,8 +63,9 @@ def fact_rows(
     (default: ``encounters``).  Inner-join semantics of the reference drop
     encounters whose patient, provider, specialty, department, type,
     encounter date or discharge date does not resolve; with
-    ``unknown_key`` set, unresolved references get that key instead and
-    only undated encounters are dropped (SURVEY X3).
+    ``unknown_key`` set, every unresolved required reference (including a
+    missing or out-of-calendar encounter/discharge date) gets that key
+    instead and no encounter is dropped (SURVEY X3).
     """
     start, end = calendar
     candidates = encounters if all_encounters is None else all_encounters
@@ -94,7 +95,11 @@ def fact_rows(
     e = e.withColumn("encounter_date_key", date_key(F.col("encounter_date"), start, end)).withColumn(
         "discharge_date_key", date_key(F.col("discharge_date"), start, end)
     )
-    e = e.where(F.col("encounter_date_key").isNotNull() & F.col("discharge_date_key").isNotNull())
+    if unknown_key is None:
+        e = e.where(F.col("encounter_date_key").isNotNull() & F.col("discharge_date_key").isNotNull())
+    else:
+        for c in ("encounter_date_key", "discharge_date_key"):
+            e = e.withColumn(c, F.coalesce(F.col(c), F.lit(unknown_key).cast("long")))
 
     counts = encounter_counts(src["encounter_diagnoses"], src["encounter_procedures"])
     bills = billing_totals(src["billing"])
