@@ -28,8 +28,9 @@ SOURCE_UNIQUE = (
 STAR_UNIQUE = (
     ("dim_date", ("date_key",)),
     ("dim_patient", ("patient_key",)),
-    ("dim_patient", ("mrn",)),
-    ("dim_patient", ("patient_id", "is_current")),
+    # Type 2 history repeats patient_id and mrn: unique among current rows
+    ("dim_patient", ("patient_id",), "is_current"),
+    ("dim_patient", ("mrn",), "is_current"),
     ("dim_specialty", ("specialty_key",)),
     ("dim_specialty", ("specialty_id",)),
     ("dim_department", ("department_key",)),
@@ -94,14 +95,14 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def dq_unique(tables: Mapping[str, DataFrame], checks: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
-    """Per unique key, how many key values repeat and how many excess
-    rows they carry (0/0 = constraint holds).  NULL keys are ignored, as a
-    UNIQUE index allows several NULLs."""
+def dq_unique(tables: Mapping[str, DataFrame], checks: Sequence[tuple]) -> DataFrame:
+    """Per unique key ``(table, keys[, row filter])``, how many key
+    values repeat and how many excess rows they carry (0/0 = constraint
+    holds).  NULL keys are ignored, as a UNIQUE index allows several NULLs."""
     parts = []
-    for table, keys in checks:
-        present = F.col(keys[0]).isNotNull()
-        for k in keys[1:]:
+    for table, keys, *where in checks:
+        present = F.expr(where[0]) if where else F.lit(True)
+        for k in keys:
             present = present & F.col(k).isNotNull()
         df = tables[table].where(present)
         dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
@@ -111,7 +112,7 @@ def dq_unique(tables: Mapping[str, DataFrame], checks: Sequence[tuple[str, Seque
                 F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("excess_rows"),
             ).select(
                 F.lit(table).alias("table_name"),
-                F.lit(",".join(keys)).alias("key_columns"),
+                F.lit(",".join(keys) + (f" where {where[0]}" if where else "")).alias("key_columns"),
                 "duplicate_keys",
                 F.col("excess_rows").cast("long").alias("excess_rows"),
             )
