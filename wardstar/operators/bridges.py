@@ -3,8 +3,8 @@
 The junction rows are reduced to one row per (encounter, code) *before*
 the fact join — a partial aggregation that collapses duplicated rows
 map-side — and only then joined to the fact's (encounter_id →
-encounter_key) map.  Code dimensions are small and broadcast behind a size
-check.  Grouping by (encounter_id, code id) equals the reference's grouping
+encounter_key) map.  Code dimensions are small; Spark broadcasts them when
+their measured size is under the broadcast threshold.  Grouping by (encounter_id, code id) equals the reference's grouping
 by (encounter_key, code key) because both maps are one-to-one.
 """
 
@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key
-from ..functions.sizing import bounded_broadcast
 
 
 def bridge_dx(encounter_diagnoses: DataFrame, fact: DataFrame, dim_diagnosis: DataFrame) -> DataFrame:
@@ -22,7 +21,7 @@ def bridge_dx(encounter_diagnoses: DataFrame, fact: DataFrame, dim_diagnosis: Da
     per_pair = encounter_diagnoses.groupBy("encounter_id", "diagnosis_id").agg(
         F.min("diagnosis_sequence").alias("diagnosis_sequence")
     )
-    keys = bounded_broadcast(dim_diagnosis.select("diagnosis_id", "diagnosis_key"))
+    keys = dim_diagnosis.select("diagnosis_id", "diagnosis_key")
     return (
         per_pair.join(keys, "diagnosis_id")
         .join(fact.select("encounter_id", "encounter_key"), "encounter_id")
@@ -42,7 +41,7 @@ def bridge_px(
     per_pair = dated.groupBy("encounter_id", "procedure_id").agg(
         F.min("procedure_date_key").alias("procedure_date_key")
     )
-    keys = bounded_broadcast(dim_procedure.select("procedure_id", "procedure_key"))
+    keys = dim_procedure.select("procedure_id", "procedure_key")
     return (
         per_pair.join(keys, "procedure_id")
         .join(fact.select("encounter_id", "encounter_key"), "encounter_id")

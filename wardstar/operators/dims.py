@@ -21,7 +21,6 @@ from ..functions.dates import (
     weekday_mon1,
 )
 from ..functions.keys import dense_keys
-from ..functions.sizing import bounded_broadcast
 
 PATIENT_ATTRS = ("first_name", "last_name", "date_of_birth", "gender", "mrn")
 
@@ -136,8 +135,8 @@ def dim_patient(patients: DataFrame, as_of: str) -> DataFrame:
 def provider_rows(providers: DataFrame, dim_spec: DataFrame, dim_dept: DataFrame) -> DataFrame:
     """Provider attributes with specialty/department keys resolved (left
     joins, so a provider is kept even when a key cannot be resolved)."""
-    spec = bounded_broadcast(dim_spec.select("specialty_id", "specialty_key"))
-    dept = bounded_broadcast(dim_dept.select("department_id", "department_key"))
+    spec = dim_spec.select("specialty_id", "specialty_key")
+    dept = dim_dept.select("department_id", "department_key")
     return (
         providers.join(spec, "specialty_id", "left")
         .join(dept, "department_id", "left")

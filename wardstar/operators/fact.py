@@ -2,8 +2,9 @@
 
 Plan shape (per encounter stream): the readmission flag is computed on a
 (patient, bucket) partitioning; the patient key join shuffles on
-``patient_id`` (or broadcasts a small checked dimension); provider,
-department and type keys come from small broadcast dimensions; the three
+``patient_id`` (unless the dimension is under the broadcast threshold);
+provider, department and type keys come from small dimensions that Spark
+broadcasts by their measured size; the three
 encounter-keyed measures (billing totals, diagnosis and procedure counts)
 are each pre-aggregated on ``encounter_id`` before they are joined, and
 all three joins share one ``encounter_id`` partitioning.  Calendar keys are
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, hours_between, lit_date
 from ..functions.keys import dense_keys
-from ..functions.sizing import bounded_broadcast
 from .readmission import readmission_flag
 
 FACT_COLUMNS = (
@@ -71,8 +71,7 @@ def fact_rows(
     candidates = encounters if all_encounters is None else all_encounters
     e = readmission_flag(candidates, probes=encounters)
 
-    def resolve(df: DataFrame, dim: DataFrame, on: str, cols: list[str], small: bool = True) -> DataFrame:
-        side = bounded_broadcast(dim) if small else dim
+    def resolve(df: DataFrame, side: DataFrame, on: str, cols: list[str]) -> DataFrame:
         if unknown_key is None:
             return df.join(side, on, "inner")
         out = df.join(side, on, "left")
@@ -87,7 +86,7 @@ def fact_rows(
     departments = dims["dim_department"].select("department_id", "department_key")
     types = dims["dim_encounter_type"].select(F.col("type_name").alias("encounter_type"), "encounter_type_key")
 
-    e = resolve(e, patients, "patient_id", ["patient_key"], small=False)
+    e = resolve(e, patients, "patient_id", ["patient_key"])
     e = resolve(e, providers, "provider_id", ["provider_key", "specialty_key"])
     e = resolve(e, departments, "department_id", ["department_key"])
     e = resolve(e, types, "encounter_type", ["encounter_type_key"])

@@ -107,7 +107,7 @@ def old_inpatient_versions(
     inpatient = dims["dim_encounter_type"].where(F.col("type_name") == READMISSION_TYPE).select("encounter_type_key")
     old = (
         fact.join(affected, "encounter_id", "left_semi")
-        .join(F.broadcast(inpatient), "encounter_type_key", "left_semi")
+        .join(inpatient, "encounter_type_key", "left_semi")
         .join(dims["dim_patient"].select("patient_key", "patient_id"), "patient_key")
         .select("patient_id", F.date_add(lit_date(calendar_start), (F.col("encounter_date_key") - 1).cast("int")).alias("day"))
     )

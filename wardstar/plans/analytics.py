@@ -1,9 +1,13 @@
 """The four analytic questions, each over the OLTP source and over the star.
 
-Shuffle notes (checked with ``explain``): specialty/provider/date
-dimensions are bounded and broadcast behind a size check, so each query
-shuffles only for its aggregation (partial → final ``HashAggregate``) and,
-for Q2, for the encounter join of the two de-duplicated code lists.
+Shuffle notes (checked with ``explain("formatted")``): no broadcast
+hints — Spark broadcasts the small dimensions itself, against
+``spark.sql.autoBroadcastJoinThreshold``, from file statistics of stored
+tables or (AQE) from measured shuffle sizes, so a dimension that outgrows
+the threshold falls back to a sort-merge join.  Each star query then
+shuffles only for its aggregation (partial → final ``HashAggregate``) and
+its final sort; Q2 also for the encounter join of the two de-duplicated
+code lists.
 """
 
 from __future__ import annotations
@@ -12,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_label
-from ..functions.sizing import bounded_broadcast
 from ..operators.fact import billing_totals
 from ..operators.readmission import READMISSION_TYPE, readmission_flag
 
@@ -21,7 +24,7 @@ TOP_PAIRS = 10  # fixed value of the reference: LIMIT 10
 
 def _provider_specialty(src: dict[str, DataFrame]) -> DataFrame:
     """provider_id → specialty_name (providers ⋈ specialties), small."""
-    return bounded_broadcast(
+    return (
         src["providers"]
         .select("provider_id", "specialty_id")
         .join(src["specialties"].select("specialty_id", "specialty_name"), "specialty_id")
@@ -57,9 +60,9 @@ def q1_monthly_encounters_star(star: dict[str, DataFrame], distinct_patient_col:
     f = star["fact_encounters"]
     if distinct_patient_col == "patient_id":
         f = f.join(star["dim_patient"].select("patient_key", "patient_id"), "patient_key")
-    dd = bounded_broadcast(star["dim_date"].select("date_key", "year", "month"))
-    ds = bounded_broadcast(star["dim_specialty"].select("specialty_key", "specialty_name"))
-    det = bounded_broadcast(star["dim_encounter_type"].select("encounter_type_key", "type_name"))
+    dd = star["dim_date"].select("date_key", "year", "month")
+    ds = star["dim_specialty"].select("specialty_key", "specialty_name")
+    det = star["dim_encounter_type"].select("encounter_type_key", "type_name")
     j = (
         f.join(dd, f["encounter_date_key"] == dd["date_key"])
         .join(ds, "specialty_key")
@@ -99,8 +102,8 @@ def _top_pairs(dx: DataFrame, px: DataFrame, key: str) -> DataFrame:
 
 def q2_dx_px_pairs_oltp(src: dict[str, DataFrame]) -> DataFrame:
     """Top diagnosis–procedure code pairs by encounters (junction tables)."""
-    dcodes = bounded_broadcast(src["diagnoses"].select("diagnosis_id", "icd10_code"))
-    pcodes = bounded_broadcast(src["procedures"].select("procedure_id", "cpt_code"))
+    dcodes = src["diagnoses"].select("diagnosis_id", "icd10_code")
+    pcodes = src["procedures"].select("procedure_id", "cpt_code")
     dx = src["encounter_diagnoses"].join(dcodes, "diagnosis_id").select("encounter_id", "icd10_code")
     px = src["encounter_procedures"].join(pcodes, "procedure_id").select("encounter_id", "cpt_code")
     return _top_pairs(dx, px, "encounter_id")
@@ -109,8 +112,8 @@ def q2_dx_px_pairs_oltp(src: dict[str, DataFrame]) -> DataFrame:
 def q2_dx_px_pairs_star(star: dict[str, DataFrame]) -> DataFrame:
     """Same through fact → bridges → code dimensions."""
     keys = star["fact_encounters"].select("encounter_key")
-    dd = bounded_broadcast(star["dim_diagnosis"].select("diagnosis_key", "icd10_code"))
-    dp = bounded_broadcast(star["dim_procedure"].select("procedure_key", "cpt_code"))
+    dd = star["dim_diagnosis"].select("diagnosis_key", "icd10_code")
+    dp = star["dim_procedure"].select("procedure_key", "cpt_code")
     dx = (
         star["bridge_encounter_diagnoses"].join(dd, "diagnosis_key").select("encounter_key", "icd10_code")
         .join(keys, "encounter_key", "left_semi")
@@ -143,10 +146,8 @@ def q3_readmission_oltp(src: dict[str, DataFrame], days: int = 30) -> DataFrame:
 
 def q3_readmission_star(star: dict[str, DataFrame]) -> DataFrame:
     """Same from the precomputed ``is_readmission`` flag."""
-    ds = bounded_broadcast(star["dim_specialty"].select("specialty_key", "specialty_name"))
-    det = bounded_broadcast(
-        star["dim_encounter_type"].where(F.col("type_name") == READMISSION_TYPE).select("encounter_type_key")
-    )
+    ds = star["dim_specialty"].select("specialty_key", "specialty_name")
+    det = star["dim_encounter_type"].where(F.col("type_name") == READMISSION_TYPE).select("encounter_type_key")
     j = star["fact_encounters"].join(det, "encounter_type_key").join(ds, "specialty_key")
     return (
         j.groupBy("specialty_name")
@@ -175,8 +176,8 @@ def q4_revenue_oltp(src: dict[str, DataFrame]) -> DataFrame:
 def q4_revenue_star(star: dict[str, DataFrame]) -> DataFrame:
     """Same on the fact; month label unpadded as in the reference
     (``CONCAT(year, '-', month)``), ordered by year and month (SURVEY D6)."""
-    dd = bounded_broadcast(star["dim_date"].select("date_key", "year", "month"))
-    ds = bounded_broadcast(star["dim_specialty"].select("specialty_key", "specialty_name"))
+    dd = star["dim_date"].select("date_key", "year", "month")
+    ds = star["dim_specialty"].select("specialty_key", "specialty_name")
     f = star["fact_encounters"]
     j = f.join(dd, f["encounter_date_key"] == dd["date_key"]).join(ds, "specialty_key")
     return (
@@ -207,8 +208,8 @@ def q4_revenue_oltp_claim(src: dict[str, DataFrame]) -> DataFrame:
 
 def q4_revenue_star_claim(star: dict[str, DataFrame]) -> DataFrame:
     """Q4d: same on the fact by its claim date key (facts with a claim only)."""
-    dd = bounded_broadcast(star["dim_date"].select("date_key", "year", "month"))
-    ds = bounded_broadcast(star["dim_specialty"].select("specialty_key", "specialty_name"))
+    dd = star["dim_date"].select("date_key", "year", "month")
+    ds = star["dim_specialty"].select("specialty_key", "specialty_name")
     f = star["fact_encounters"].where(F.col("claim_date_key").isNotNull())
     j = f.join(dd, f["claim_date_key"] == dd["date_key"]).join(ds, "specialty_key")
     return (

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key
-from ..functions.sizing import bounded_broadcast
 
 
 def monthly_summary(star: Mapping[str, DataFrame]) -> DataFrame:
@@ -16,9 +15,9 @@ def monthly_summary(star: Mapping[str, DataFrame]) -> DataFrame:
     materialised next to the fact (distinct patients are not additive and
     are left to Q1)."""
     f = star["fact_encounters"]
-    dd = bounded_broadcast(star["dim_date"].select("date_key", "year", "month"))
-    ds = bounded_broadcast(star["dim_specialty"].select("specialty_key", "specialty_name"))
-    det = bounded_broadcast(star["dim_encounter_type"].select("encounter_type_key", "type_name"))
+    dd = star["dim_date"].select("date_key", "year", "month")
+    ds = star["dim_specialty"].select("specialty_key", "specialty_name")
+    det = star["dim_encounter_type"].select("encounter_type_key", "type_name")
     j = f.join(dd, f["encounter_date_key"] == dd["date_key"]).join(ds, "specialty_key").join(det, "encounter_type_key")
     return j.groupBy("year", "month", "specialty_name", F.col("type_name").alias("encounter_type")).agg(
         F.count(F.lit(1)).alias("encounters"),
