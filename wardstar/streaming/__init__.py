@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream, event-time watermark or windowed operator; its
+"daily" incremental load is a batch job started by hand or by a scheduler.
+Its nearest behaviours — high-watermark change capture, a 7-day look-back
+for late rows, an audit row per run — are batch operators in
+``wardstar.operators.incremental`` and ``wardstar.plans.etl``.
+"""
