@@ -195,7 +195,8 @@ def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wardstar.functions.keys import dense_keys
 
     ed = _src(spark, sf_dir)["encounter_diagnoses"].select("encounter_id", "diagnosis_sequence", "diagnosis_id")
-    return dense_keys(ed, ["encounter_id", "diagnosis_sequence", "diagnosis_id"], "row_key")
+    # the distributed path (range partitions + checkpoint + offsets), whatever the size
+    return dense_keys(ed, ["encounter_id", "diagnosis_sequence", "diagnosis_id"], "row_key", small_rows=0)
 
 
 def _warehouse(spark: SparkSession):

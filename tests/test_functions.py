@@ -56,3 +56,10 @@ def test_dense_keys_equal_row_number(spark):
     got = {r["id"]: r["k"] for r in keyed.collect()}
     want = {i: 101 + n for n, i in enumerate(sorted(ids))}
     assert got == want
+
+
+def test_dense_keys_small_path_matches_distributed(spark):
+    df = spark.range(0, 3000).selectExpr("(id * 7919) % 100003 as id").repartition(4)
+    a = {r["id"]: r["k"] for r in dense_keys(df, ["id"], "k", start_after=5).collect()}
+    b = {r["id"]: r["k"] for r in dense_keys(df, ["id"], "k", start_after=5, small_rows=0, partitions=3).collect()}
+    assert a == b and sorted(a.values()) == list(range(6, 3006))

@@ -127,4 +127,4 @@ def fact_encounters(
     """Full-load fact, one row per resolvable encounter, keyed densely
     by ``encounter_id``."""
     rows = fact_rows(src["encounters"], src, dims, calendar, load_date, unknown_key=unknown_key)
-    return dense_keys(rows, ["encounter_id"], "encounter_key").select(*FACT_COLUMNS)
+    return dense_keys(rows, ["encounter_id"], "encounter_key", small_rows=0).select(*FACT_COLUMNS)

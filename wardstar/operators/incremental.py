@@ -184,7 +184,8 @@ def fact_incremental(
     cands = src["encounters"].join(part["encounters"].select("patient_id").distinct(), "patient_id", "left_semi")
     rows = fact_rows(part["encounters"], part, dims, calendar, as_of, all_encounters=cands)
     old_keys = fact.select("encounter_id", "encounter_key").join(affected, "encounter_id", "left_semi")
-    rows = rows.join(old_keys, "encounter_id", "left")
+    # O(changes): materialised once, then split into kept-key and new-key rows
+    rows = rows.join(old_keys, "encounter_id", "left").checkpoint(eager=True)
     reused = rows.where(F.col("encounter_key").isNotNull())
     fresh = dense_keys(
         rows.where(F.col("encounter_key").isNull()).drop("encounter_key"),
@@ -196,45 +197,68 @@ def fact_incremental(
     return kept.select(*FACT_COLUMNS).unionByName(inserted), inserted
 
 
-def _affected_keys(old_fact: DataFrame, new_fact: DataFrame, affected: DataFrame) -> DataFrame:
-    keys = old_fact.join(affected, "encounter_id", "left_semi").select("encounter_key")
-    return keys.unionByName(new_fact.join(affected, "encounter_id", "left_semi").select("encounter_key")).distinct()
+def reloaded_keys(old_fact: DataFrame, inserted: DataFrame, affected: DataFrame) -> DataFrame:
+    """Encounter keys whose bridge rows are replaced: the stored keys of the
+    affected encounters and the keys of their re-inserted facts."""
+    old = old_fact.join(affected, "encounter_id", "left_semi").select("encounter_key")
+    return old.unionByName(inserted.select("encounter_key")).distinct()
+
+
+def bridge_dx_rebuild(
+    inserted: DataFrame, encounter_diagnoses: DataFrame, dim_diagnosis: DataFrame, affected: DataFrame
+) -> DataFrame:
+    """W21 (insert half): bridge rows of the re-inserted facts, from all
+    junction rows of their encounters (D11)."""
+    return bridge_dx(encounter_diagnoses.join(affected, "encounter_id", "left_semi"), inserted, dim_diagnosis)
+
+
+def bridge_px_rebuild(
+    inserted: DataFrame,
+    encounter_procedures: DataFrame,
+    dim_procedure: DataFrame,
+    affected: DataFrame,
+    calendar: tuple[str, str],
+) -> DataFrame:
+    """W22 (insert half)."""
+    return bridge_px(encounter_procedures.join(affected, "encounter_id", "left_semi"), inserted, dim_procedure, calendar)
+
+
+def replace_rows(table: DataFrame, removed_keys: DataFrame, added: DataFrame) -> DataFrame:
+    """``DELETE … WHERE encounter_key IN (removed)`` then ``INSERT added``
+    (S6: the bridge delete reached through the fact's keys)."""
+    kept = table.join(removed_keys, "encounter_key", "left_anti")
+    return kept.unionByName(added.select(*kept.columns))
 
 
 def bridge_dx_incremental(
     bridge: DataFrame,
     old_fact: DataFrame,
-    new_fact: DataFrame,
+    inserted: DataFrame,
     encounter_diagnoses: DataFrame,
     dim_diagnosis: DataFrame,
     affected: DataFrame,
 ) -> DataFrame:
     """Drop the affected encounters' rows, rebuild them from all their
     junction rows."""
-    kept = bridge.join(_affected_keys(old_fact, new_fact, affected), "encounter_key", "left_anti")
-    rebuilt = bridge_dx(
-        encounter_diagnoses.join(affected, "encounter_id", "left_semi"),
-        new_fact.join(affected, "encounter_id", "left_semi"),
-        dim_diagnosis,
+    return replace_rows(
+        bridge,
+        reloaded_keys(old_fact, inserted, affected),
+        bridge_dx_rebuild(inserted, encounter_diagnoses, dim_diagnosis, affected),
     )
-    return kept.unionByName(rebuilt)
 
 
 def bridge_px_incremental(
     bridge: DataFrame,
     old_fact: DataFrame,
-    new_fact: DataFrame,
+    inserted: DataFrame,
     encounter_procedures: DataFrame,
     dim_procedure: DataFrame,
     affected: DataFrame,
     calendar: tuple[str, str],
 ) -> DataFrame:
     """As W21 for procedures."""
-    kept = bridge.join(_affected_keys(old_fact, new_fact, affected), "encounter_key", "left_anti")
-    rebuilt = bridge_px(
-        encounter_procedures.join(affected, "encounter_id", "left_semi"),
-        new_fact.join(affected, "encounter_id", "left_semi"),
-        dim_procedure,
-        calendar,
+    return replace_rows(
+        bridge,
+        reloaded_keys(old_fact, inserted, affected),
+        bridge_px_rebuild(inserted, encounter_procedures, dim_procedure, affected, calendar),
     )
-    return kept.unionByName(rebuilt)

@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import dims as D
@@ -21,7 +21,7 @@ from ..operators import incremental as I
 from ..operators import scd
 from ..operators.dims import PATIENT_ATTRS
 from ..functions.dates import age_group
-from ..sources.snapshots import Warehouse
+from ..sources.snapshots import BLOCK_COL, Warehouse, key_block
 from .star import STAR_TABLES, build_star
 
 LOOKBACK_DAYS = 7  # fixed value of the reference
@@ -70,12 +70,15 @@ def incremental_tables(
     widen: bool = True,
     null_safe: bool = True,
     sink=None,
-) -> tuple[dict[str, DataFrame], Observation]:
+    block_writer=None,
+) -> tuple[dict[str, DataFrame], DataFrame]:
     """Plan one incremental run over the previous star ``prev``.
 
     ``sink(name, df) -> df`` stores a table and returns it read back; the
-    default keeps everything lazy.  Returns the new tables and the
-    observation holding the number of fact rows (re)inserted."""
+    default keeps everything lazy.  ``block_writer(name, removed_keys,
+    added_rows) -> df``, when given, applies the fact and bridge changes
+    in place instead of materialising whole new tables.  Returns the new
+    tables and the (re)inserted fact rows."""
     sink = sink or (lambda name, df: df)
     watermark = I.read_watermark(control)
     cutoff = I.cutoff_for(watermark, as_of, lookback_days)
@@ -119,18 +122,26 @@ def incremental_tables(
     # one frozen encounter set for delete, re-insert and both bridges
     affected = affected.checkpoint(eager=True)
 
-    _, inserted = I.fact_incremental(prev["fact_encounters"], src, out, affected, calendar, as_of)
-    obs = Observation("fact_inserted")
-    inserted_observed = inserted.observe(obs, F.count(F.lit(1)).alias("rows"))
-    kept = I.affected_delete(prev["fact_encounters"], affected).select(*inserted.columns)
-    out["fact_encounters"] = sink("fact_encounters", kept.unionByName(inserted_observed))
-    out["bridge_encounter_diagnoses"] = sink("bridge_encounter_diagnoses", I.bridge_dx_incremental(
-        prev["bridge_encounter_diagnoses"], prev["fact_encounters"], out["fact_encounters"],
-        src["encounter_diagnoses"], out["dim_diagnosis"], affected))
-    out["bridge_encounter_procedures"] = sink("bridge_encounter_procedures", I.bridge_px_incremental(
-        prev["bridge_encounter_procedures"], prev["fact_encounters"], out["fact_encounters"],
-        src["encounter_procedures"], out["dim_procedure"], affected, calendar))
-    return out, obs
+    prev_fact = prev["fact_encounters"]
+    _, inserted = I.fact_incremental(prev_fact, src, out, affected, calendar, as_of)
+    # the re-inserted facts feed the fact and both bridges: computed once
+    inserted = inserted.checkpoint(eager=True)
+    # frozen before any block of the stored fact is replaced in place
+    old_keys = prev_fact.join(affected, "encounter_id", "left_semi").select("encounter_key").checkpoint(eager=True)
+    reloaded = old_keys.unionByName(inserted.select("encounter_key")).distinct().checkpoint(eager=True)
+    dx = I.bridge_dx_rebuild(inserted, src["encounter_diagnoses"], out["dim_diagnosis"], affected)
+    px = I.bridge_px_rebuild(inserted, src["encounter_procedures"], out["dim_procedure"], affected, calendar)
+    changes_by_table = {
+        "fact_encounters": (old_keys, inserted),
+        "bridge_encounter_diagnoses": (reloaded, dx),
+        "bridge_encounter_procedures": (reloaded, px),
+    }
+    for name, (removed, added) in changes_by_table.items():
+        if block_writer is not None:
+            out[name] = block_writer(name, removed, added)
+        else:
+            out[name] = sink(name, I.replace_rows(prev[name], removed, added))
+    return out, inserted
 
 
 def incremental_run(
@@ -148,11 +159,19 @@ def incremental_run(
         if prev_id is None:
             raise RuntimeError("incremental run needs a previous successful load")
         prev = wh.tables(STAR_TABLES, prev_id)
-        out, obs = incremental_tables(
+        def block_writer(name: str, removed: DataFrame, added: DataFrame) -> DataFrame:
+            # the blocks touched: a bounded list (one entry per key block)
+            touched = removed.select("encounter_key").unionByName(added.select("encounter_key"))
+            blocks = [r[0] for r in touched.select(key_block(wh.block_rows)).distinct().collect()]
+            stored = wh.read(name, run_id, keep_block=True).where(F.col(BLOCK_COL).isin(blocks)).drop(BLOCK_COL)
+            return wh.rewrite_blocks(name, run_id, I.replace_rows(stored, removed, added), blocks)
+
+        out, inserted = incremental_tables(
             prev, wh.control(), src, as_of, lookback_days, widen,
             sink=lambda name, df: wh.write(name, run_id, df),
+            block_writer=block_writer,
         )
         wh.write("dim_date", run_id, out["dim_date"])
-        return new_watermark, int(obs.get.get("rows", 0))
+        return new_watermark, int(inserted.count())
 
     return _audited(wh, "INCREMENTAL", as_of, body)

@@ -31,12 +31,32 @@ CONTROL_SCHEMA = T.StructType(
 )
 
 
+# Encounter-grain tables are stored partitioned by a block of encounter keys:
+# partitions have a bounded size whatever the key distribution, and an
+# incremental run rewrites only the blocks its encounters live in.
+BLOCKED = ("fact_encounters", "bridge_encounter_diagnoses", "bridge_encounter_procedures")
+BLOCK_ROWS = 1 << 20
+BLOCK_COL = "key_block"
+
+
+def key_block(block_rows: int = BLOCK_ROWS, key: str = "encounter_key"):
+    return F.floor(F.col(key) / F.lit(block_rows)).cast("long")
+
+
 class Warehouse:
     """``create=True`` initialises a new warehouse (an empty control table);
-    opening an existing one reads its control table."""
-
-    def __init__(self, spark: SparkSession, root: str, create: bool = False):
-        self.spark, self.root = spark, root.rstrip("/")
+    opening an existing one reads its control table.
+
+    Dimensions are written per run (snapshot, read back by the latest SUCCESS
+    control row).  Fact and bridges are written once per full refresh,
+    partitioned by ``key_block``; incremental runs replace only the blocks
+    they touch, in place (dynamic partition overwrite).  Their current
+    contents are therefore those of the latest run, which is re-run safely:
+    the incremental load is idempotent and the watermark only advances with
+    a SUCCESS row."""
+
+    def __init__(self, spark: SparkSession, root: str, create: bool = False, block_rows: int = BLOCK_ROWS):
+        self.spark, self.root, self.block_rows = spark, root.rstrip("/"), block_rows
         if create:
             spark.createDataFrame([], CONTROL_SCHEMA).coalesce(1).write.mode("errorifexists").parquet(
                 f"{self.root}/etl_control"
@@ -58,13 +78,57 @@ class Warehouse:
         m = c.where(F.col("status") == "SUCCESS").agg(F.max("control_id").alias("m")).first()["m"]
         return None if m is None else int(m)
 
+    def base_run(self, run_id: int) -> int:
+        """The full refresh whose blocked tables run ``run_id`` reads."""
+        c = self.control()
+        m = (
+            c.where((F.col("load_type") == "FULL") & (F.col("status") == "SUCCESS") & (F.col("control_id") <= run_id))
+            .agg(F.max("control_id").alias("m"))
+            .first()["m"]
+        )
+        if m is None:
+            raise RuntimeError(f"no successful full refresh at or before run {run_id}")
+        return int(m)
+
     def write(self, table: str, run_id: int, df: DataFrame) -> DataFrame:
         """Write ``df`` as ``table`` of ``run_id`` and return it read back."""
-        df.write.mode("errorifexists").parquet(self.path(table, run_id))
-        return self.read(table, run_id)
-
-    def read(self, table: str, run_id: int) -> DataFrame:
-        return self.spark.read.parquet(self.path(table, run_id))
+        if table in BLOCKED:
+            df.withColumn(BLOCK_COL, key_block(self.block_rows)).write.partitionBy(BLOCK_COL).mode(
+                "errorifexists"
+            ).parquet(self.path(table, run_id))
+        else:
+            df.write.mode("errorifexists").parquet(self.path(table, run_id))
+        return self._read_path(table, self.path(table, run_id))
+
+    def _read_path(self, table: str, path: str, keep_block: bool = False) -> DataFrame:
+        df = self.spark.read.parquet(path)
+        return df if keep_block or BLOCK_COL not in df.columns else df.drop(BLOCK_COL)
+
+    def read(self, table: str, run_id: int, keep_block: bool = False) -> DataFrame:
+        run = self.base_run(run_id) if table in BLOCKED else run_id
+        return self._read_path(table, self.path(table, run), keep_block)
+
+    def rewrite_blocks(self, table: str, run_id: int, rows: DataFrame, blocks: list[int]) -> DataFrame:
+        """Replace blocks ``blocks`` of a blocked table by ``rows`` (which hold
+        exactly the new contents of those blocks).  ``rows`` is checkpointed
+        first: it is derived from the partitions it overwrites."""
+        from ..session import checkpoint_dir
+
+        checkpoint_dir(self.spark)
+        path = self.path(table, self.base_run(run_id))
+        frozen = rows.withColumn(BLOCK_COL, key_block(self.block_rows)).checkpoint(eager=True)
+        frozen.write.partitionBy(BLOCK_COL).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        written = {r[0] for r in frozen.select(BLOCK_COL).distinct().collect()}
+        emptied = [b for b in blocks if b not in written]
+        if emptied:
+            # a block whose rows were all deleted: dynamic overwrite cannot
+            # express an empty partition, so its directory is removed
+            jvm = self.spark.sparkContext._jvm
+            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+            for b in emptied:
+                p = jvm.org.apache.hadoop.fs.Path(f"{path}/{BLOCK_COL}={b}")
+                p.getFileSystem(conf).delete(p, True)
+        return self._read_path(table, path)
 
     def tables(self, names: tuple[str, ...], run_id: int | None = None) -> dict[str, DataFrame]:
         run_id = self.latest_success() if run_id is None else run_id
