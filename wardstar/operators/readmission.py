@@ -75,9 +75,28 @@ def bucket_summaries(
         )
     )
     stats = first.join(second, [*keys, "b"])
-    tail = stats.select(*keys, F.col("b").alias("k"), "m1", "cm1", "m2")
-    head = stats.select(*keys, (F.col("b") - 1).alias("k"), "n1", "cn1", "n2")
-    return tail.join(head, [*keys, "k"], "full")
+    # each bucket row serves as the tail of bucket b and the head of bucket
+    # b + 1: emit both roles and fold them per (keys, k) — one aggregation
+    # instead of a self join of the summary
+    roles = stats.select(
+        *keys,
+        F.explode(
+            F.array(
+                F.struct(F.col("b").alias("k"), F.lit(True).alias("tail")),
+                F.struct((F.col("b") - 1).alias("k"), F.lit(False).alias("tail")),
+            )
+        ).alias("r"),
+        "m1", "cm1", "m2", "n1", "cn1", "n2",
+    ).select(*keys, "r.k", "r.tail", "m1", "cm1", "m2", "n1", "cn1", "n2")
+    tail, head = F.col("tail"), ~F.col("tail")
+    return roles.groupBy(*keys, "k").agg(
+        F.max(F.when(tail, F.col("m1"))).alias("m1"),
+        F.max(F.when(tail, F.col("cm1"))).alias("cm1"),
+        F.max(F.when(tail, F.col("m2"))).alias("m2"),
+        F.max(F.when(head, F.col("n1"))).alias("n1"),
+        F.max(F.when(head, F.col("cn1"))).alias("cn1"),
+        F.max(F.when(head, F.col("n2"))).alias("n2"),
+    )
 
 
 def readmission_flag(
