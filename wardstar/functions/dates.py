@@ -26,10 +26,11 @@ def lit_date(d: str | _dt.date) -> Column:
 
 
 def lit_ts(ts: str | _dt.datetime) -> Column:
-    """Zone-less timestamp literal (``timestamp_ntz``)."""
+    """Zone-less timestamp literal (``timestamp_ntz``), built from its text so
+    the session time zone never shifts it."""
     if not isinstance(ts, _dt.datetime):
         ts = _dt.datetime.fromisoformat(str(ts))
-    return F.lit(ts).cast("timestamp_ntz")
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def weekday_mon1(d: Column) -> Column:

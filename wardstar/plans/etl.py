@@ -20,7 +20,7 @@ from ..operators import dims as D
 from ..operators import incremental as I
 from ..operators import scd
 from ..operators.dims import PATIENT_ATTRS
-from ..functions.dates import age_group
+from ..functions.dates import age_group, lit_ts
 from ..sources.snapshots import BLOCK_COL, Warehouse, key_block
 from .star import STAR_TABLES, build_star
 
@@ -82,7 +82,7 @@ def incremental_tables(
     sink = sink or (lambda name, df: df)
     watermark = I.read_watermark(control)
     cutoff = I.cutoff_for(watermark, as_of, lookback_days)
-    wm = F.lit(watermark).cast("timestamp_ntz")
+    wm = lit_ts(watermark)
 
     def changed(t: str) -> DataFrame:
         return src[t].where(F.col("last_updated") > wm)

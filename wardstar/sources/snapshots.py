@@ -91,13 +91,16 @@ class Warehouse:
         return int(m)
 
     def write(self, table: str, run_id: int, df: DataFrame) -> DataFrame:
-        """Write ``df`` as ``table`` of ``run_id`` and return it read back."""
+        """Write ``df`` as ``table`` of ``run_id`` and return it read back.
+
+        A run's directories are only read once its control row exists, so a
+        retry of a run whose driver died mid-way overwrites its leftovers."""
         if table in BLOCKED:
             df.withColumn(BLOCK_COL, key_block(self.block_rows)).write.partitionBy(BLOCK_COL).mode(
-                "errorifexists"
+                "overwrite"
             ).parquet(self.path(table, run_id))
         else:
-            df.write.mode("errorifexists").parquet(self.path(table, run_id))
+            df.write.mode("overwrite").parquet(self.path(table, run_id))
         return self._read_path(table, self.path(table, run_id))
 
     def _read_path(self, table: str, path: str, keep_block: bool = False) -> DataFrame:
