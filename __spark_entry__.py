@@ -313,7 +313,28 @@ def _fact_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_billing(src["billing"], star, star.calendar)
 
 
+def _money_as_double(fn):
+    """Money columns leave as double (storage keeps decimal(12,2)), so the
+    cross-engine comparison sees the same IEEE values on both sides."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from pyspark.sql import functions as F
+        from pyspark.sql.types import DecimalType
+
+        df = fn(spark, sf_dir)
+        return df.select(*[
+            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
+            for f in df.schema.fields
+        ])
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {k: _money_as_double(fn) for k, fn in _queries().items()}
+
+
+def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "q1_monthly_encounters_oltp": _oltp(A.q1_monthly_encounters_oltp),
         "q1_monthly_encounters_star": _on_star(A.q1_monthly_encounters_star),
