@@ -313,25 +313,32 @@ def _fact_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_billing(src["billing"], star, star.calendar)
 
 
-def _money_as_double(fn):
-    """Money columns leave as double (storage keeps decimal(12,2)), so the
-    cross-engine comparison sees the same IEEE values on both sides."""
+def _comparable(fn):
+    """Money leaves as double and calendar dates as midnight timestamps
+    (storage keeps decimal(12,2) and date), so the cross-engine comparison
+    sees identical values whatever the result conversion."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         from pyspark.sql import functions as F
-        from pyspark.sql.types import DecimalType
+        from pyspark.sql.types import DateType, DecimalType
 
         df = fn(spark, sf_dir)
-        return df.select(*[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
-            for f in df.schema.fields
-        ])
+
+        def out(f):
+            if isinstance(f.dataType, DecimalType):
+                return F.col(f.name).cast("double").alias(f.name)
+            if isinstance(f.dataType, DateType) and f.name != "end_date":
+                # (the open end date 9999-12-31 stays a date: no pandas timestamp holds it)
+                return F.col(f.name).cast("timestamp_ntz").alias(f.name)
+            return F.col(f.name)
+
+        return df.select(*[out(f) for f in df.schema.fields])
 
     return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _money_as_double(fn) for k, fn in _queries().items()}
+    return {k: _comparable(fn) for k, fn in _queries().items()}
 
 
 def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
