@@ -133,3 +133,12 @@ def test_rewrite_blocks_clears_emptied_block(spark):
     wh.rewrite_blocks("fact_encounters", 1, kept, [1, 2])
     keys = sorted(r.encounter_key for r in wh.read("fact_encounters", 1).collect())
     assert keys == list(range(1, 10)) + list(range(20, 25)) + [30]
+
+
+def test_monthly_summary_materialised(spark, loaded):
+    from wardstar.plans.summaries import monthly_summary
+
+    wh, _, _ = loaded
+    run = wh.latest_success()
+    stored = wh.read("monthly_summary", run)
+    assert _rows(stored) == _rows(monthly_summary(wh.tables(STAR_TABLES)))

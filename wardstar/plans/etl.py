@@ -23,6 +23,7 @@ from ..operators.dims import PATIENT_ATTRS
 from ..functions.dates import age_group, lit_ts
 from ..sources.snapshots import BLOCK_COL, Warehouse, key_block
 from .star import STAR_TABLES, build_star
+from .summaries import monthly_summary
 
 LOOKBACK_DAYS = 7  # fixed value of the reference
 
@@ -48,14 +49,18 @@ def full_refresh(
     as_of: str,
     watermark: _dt.datetime,
     calendar: tuple[str, str] | None = None,
+    summary: bool = True,
 ) -> int:
     """Rebuild every star table from the sources into a new run.
-    ``watermark`` is the change stamp the sources are complete up to."""
+    ``watermark`` is the change stamp the sources are complete up to;
+    ``summary`` also materialises the monthly summary (X7)."""
 
     def body(run_id: int):
         star = build_star(dict(src), as_of, calendar)
         for name in STAR_TABLES:
             star.materialize(name, wh.write(name, run_id, star[name]))
+        if summary:
+            wh.write("monthly_summary", run_id, monthly_summary(star))
         return watermark, int(star["fact_encounters"].count())
 
     return _audited(wh, "FULL", as_of, body)
@@ -151,6 +156,7 @@ def incremental_run(
     new_watermark: _dt.datetime,
     lookback_days: int = LOOKBACK_DAYS,
     widen: bool = True,
+    summary: bool = True,
 ) -> int:
     """Dims → fact → bridges → control row, over the latest good run."""
 
@@ -172,6 +178,8 @@ def incremental_run(
             block_writer=block_writer,
         )
         wh.write("dim_date", run_id, out["dim_date"])
+        if summary:
+            wh.write("monthly_summary", run_id, monthly_summary(out))
         return new_watermark, int(inserted.count())
 
     return _audited(wh, "INCREMENTAL", as_of, body)
