@@ -165,6 +165,7 @@ def incremental_run(
         if prev_id is None:
             raise RuntimeError("incremental run needs a previous successful load")
         prev = wh.tables(STAR_TABLES, prev_id)
+
         def block_writer(name: str, removed: DataFrame, added: DataFrame) -> DataFrame:
             # the blocks touched: a bounded list (one entry per key block)
             touched = removed.select("encounter_key").unionByName(added.select("encounter_key"))

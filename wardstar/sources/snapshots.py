@@ -12,7 +12,6 @@ visible.  This replaces the reference's transaction commit/rollback.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,6 +154,3 @@ class Warehouse:
             f"{self.root}/etl_control"
         )
 
-
-def publish(wh: Warehouse, run_id: int, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: wh.write(name, run_id, df) for name, df in tables.items()}
