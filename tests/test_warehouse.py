@@ -142,3 +142,11 @@ def test_monthly_summary_materialised(spark, loaded):
     run = wh.latest_success()
     stored = wh.read("monthly_summary", run)
     assert _rows(stored) == _rows(monthly_summary(wh.tables(STAR_TABLES)))
+
+
+def test_q1_star_counts_patients_not_versions(loaded):
+    from wardstar.plans.analytics import q1_monthly_encounters_star
+
+    wh, ref, _ = loaded
+    assert _rows(q1_monthly_encounters_star(wh.tables(STAR_TABLES))) == _rows(
+        q1_monthly_encounters_star(ref.tables(STAR_TABLES)))

@@ -52,11 +52,17 @@ def q1_monthly_encounters_oltp(src: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def q1_monthly_encounters_star(star: dict[str, DataFrame], distinct_patient_col: str = "patient_key") -> DataFrame:
+def q1_monthly_encounters_star(star: dict[str, DataFrame], distinct_patient_col: str | None = None) -> DataFrame:
     """Same question on the fact (``COUNT(*)`` per group).
 
-    ``distinct_patient_col='patient_id'`` counts patients rather than
-    patient versions once Type 2 history exists (SURVEY D15)."""
+    Facts bind to the patient version current when they were loaded, so
+    once Type 2 history exists distinct ``patient_key`` counts versions;
+    then (or with ``distinct_patient_col='patient_id'``) patients are
+    counted through the dimension (SURVEY D15).  Without history the key
+    is the patient and no extra join is needed."""
+    if distinct_patient_col is None:
+        history = star["dim_patient"].where(~F.col("is_current")).limit(1).count() > 0
+        distinct_patient_col = "patient_id" if history else "patient_key"
     f = star["fact_encounters"]
     if distinct_patient_col == "patient_id":
         f = f.join(star["dim_patient"].select("patient_key", "patient_id"), "patient_key")
