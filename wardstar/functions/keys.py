@@ -19,7 +19,7 @@ pipeline of unknown size (the full-load fact) pass ``small_rows=0``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,17 +36,26 @@ def dense_keys(
     df: DataFrame,
     order_by: Sequence[str | Column],
     key_col: str,
-    start_after: int = 0,
+    start_after: int | Callable[[], int] = 0,
     partitions: int | None = None,
     small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Append ``key_col`` = ``start_after`` + 1-based rank in ``order_by`` order.
 
     ``order_by`` must be unique per row for the keys to be reproducible.
+    ``start_after`` may be a callable (e.g. the current maximum key), then
+    evaluated only when there are rows to number.
     """
-    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
-        rank = F.row_number().over(Window.orderBy(*order_by))
-        return df.withColumn(key_col, (F.lit(start_after) + rank).cast("long"))
+    if small_rows:
+        n = df.limit(small_rows + 1).count()
+        if n == 0:
+            return df.withColumn(key_col, F.lit(None).cast("long"))
+        if n <= small_rows:
+            base = start_after() if callable(start_after) else start_after
+            rank = F.row_number().over(Window.orderBy(*order_by))
+            return df.withColumn(key_col, (F.lit(base) + rank).cast("long"))
+    if callable(start_after):
+        start_after = start_after()
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -191,7 +191,7 @@ def fact_incremental(
         rows.where(F.col("encounter_key").isNull()).drop("encounter_key"),
         ["encounter_id"],
         "encounter_key",
-        start_after=max_key(fact, "encounter_key"),
+        start_after=lambda: max_key(fact, "encounter_key"),
     )
     inserted = reused.select(*FACT_COLUMNS).unionByName(fresh.select(*FACT_COLUMNS))
     return kept.select(*FACT_COLUMNS).unionByName(inserted), inserted

@@ -48,6 +48,8 @@ def type1_upsert(
 ) -> DataFrame:
     """Upsert ``source`` (one row per natural key) into ``target``."""
     cols = [key_col, natural_key, *attrs]
+    if source.limit(1).count() == 0:  # nothing changed: the target stands
+        return target.select(*cols)
     src = source.select(natural_key, *attrs, F.lit(True).alias("_ws_src"))
     t = target.select(*cols)
     merged = t.alias("t").join(src.alias("s"), natural_key, "left").select(
@@ -59,7 +61,7 @@ def type1_upsert(
         ],
     )
     fresh = src.drop("_ws_src").join(t.select(natural_key), natural_key, "left_anti")
-    keyed = dense_keys(fresh, [natural_key], key_col, start_after=max_key(t, key_col))
+    keyed = dense_keys(fresh, [natural_key], key_col, start_after=lambda: max_key(t, key_col))
     return merged.unionByName(keyed.select(*cols))
 
 
@@ -84,6 +86,8 @@ def scd2(
     derived = dict(derived or {})
     day = lit_date(as_of)
     cols = target.columns
+    if changes.limit(1).count() == 0:  # nothing changed: the target stands
+        return target
     cur = target.where(F.col("is_current")).select(
         natural_key,
         F.col(key_col).alias("_ws_key"),
@@ -113,7 +117,7 @@ def scd2(
     )
     corrected = version(touched.where(same_day)).withColumnRenamed("_ws_key", key_col)
     fresh = version(touched.where(~same_day)).drop("_ws_key")
-    fresh = dense_keys(fresh, [natural_key], key_col, start_after=max_key(target, key_col))
+    fresh = dense_keys(fresh, [natural_key], key_col, start_after=lambda: max_key(target, key_col))
     return kept.select(*cols).unionByName(closed.select(*cols)).unionByName(corrected.select(*cols)).unionByName(
         fresh.select(*cols)
     )

@@ -56,6 +56,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str, create: bool = False, block_rows: int = BLOCK_ROWS):
         self.spark, self.root, self.block_rows = spark, root.rstrip("/"), block_rows
+        self._base: dict[int, int] = {}
         if create:
             spark.createDataFrame([], CONTROL_SCHEMA).coalesce(1).write.mode("errorifexists").parquet(
                 f"{self.root}/etl_control"
@@ -78,7 +79,10 @@ class Warehouse:
         return None if m is None else int(m)
 
     def base_run(self, run_id: int) -> int:
-        """The full refresh whose blocked tables run ``run_id`` reads."""
+        """The full refresh whose blocked tables run ``run_id`` reads (fixed
+        once that full refresh succeeded, so it is looked up once)."""
+        if run_id in self._base:
+            return self._base[run_id]
         c = self.control()
         m = (
             c.where((F.col("load_type") == "FULL") & (F.col("status") == "SUCCESS") & (F.col("control_id") <= run_id))
@@ -87,6 +91,7 @@ class Warehouse:
         )
         if m is None:
             raise RuntimeError(f"no successful full refresh at or before run {run_id}")
+        self._base[run_id] = int(m)
         return int(m)
 
     def write(self, table: str, run_id: int, df: DataFrame) -> DataFrame:
