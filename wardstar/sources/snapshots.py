@@ -1,12 +1,13 @@
-"""Warehouse storage: one Parquet directory per table per run, plus an
-append-only ``etl_control`` table that is the commit log.
-
-A run writes every table it produces under ``<root>/<table>/run=<id>/``
-(new directories only — a path being read is never overwritten), and
-appends its control row **last**.  Readers resolve the latest SUCCESS row
-and read that run's directories, so a failed or half-written run is never
-visible.  This replaces the reference's transaction commit/rollback.
-``root`` must be a shared folder (e.g. under ``spark.checkpoint.dir``).
+"""Warehouse storage: Parquet directories per table plus an append-only
+``etl_control`` table that is the commit log.
+
+Dimensions are written per run under ``<root>/<table>/run=<id>/`` and are
+read through the latest SUCCESS control row, so a failed or half-written
+run is never visible for them.  The encounter-grain tables (fact and
+bridges) are written by a full refresh, partitioned in key blocks, and
+then updated in place block by block by incremental runs (see
+``Warehouse``).  The control row is appended last.  ``root`` must be a
+shared folder (e.g. under ``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
