@@ -1,11 +1,13 @@
 """Full refresh (W15) and incremental run (W24) with an audit row.
 
-Both publish into a ``Warehouse`` (``sources.snapshots``): every table of
-the run goes to a new directory and is read back before the next table
-uses it (the lineage is cut there, and stored tables carry real size
-statistics for the join planner); the control row is appended last.  On
-failure a FAILURE row with the error message is appended instead, as the
-reference's trigger script does, and the exception propagates.
+Both publish into a ``Warehouse`` (``sources.snapshots``): each table is
+stored and read back before the next table uses it (the lineage is cut
+there, and stored tables carry real size statistics for the join
+planner) — dimensions into the run's own directories, fact and bridges
+by a full refresh into key blocks that incremental runs replace in place
+block by block; the control row is appended last.  On failure a FAILURE
+row with the error message is appended instead, as the reference's
+trigger script does, and the exception propagates.
 """
 
 from __future__ import annotations
