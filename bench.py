@@ -108,6 +108,8 @@ def main() -> None:
         "value": total,
         "unit": "sec",
         "queries": {**query_times, **{k: round(v, 4) for k, v in times.items()}},
+        "oltp_total": round(sum(query_times[k] for k in OLTP), 4),
+        "star_total": round(sum(query_times[k] for k in STAR), 4),
         "sf": sf,
         "cpus": int(cpus),
     }
