@@ -9,6 +9,7 @@ for the same result over the driver's parquet views.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -337,8 +338,23 @@ def _comparable(fn):
     return run
 
 
+def _optional(module: str):
+    """A module of the training-data subpackage, or None where it is not installed."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("wardstar.llm", module):
+            raise
+        return None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _comparable(fn) for k, fn in _queries().items()}
+    out = {k: _comparable(fn) for k, fn in _queries().items()}
+    if llm := _optional("wardstar.llm.registry"):
+        out.update(llm.queries())
+    if pipeline := _optional("corpus_pipeline"):
+        out["pipeline"] = pipeline.run
+    return out
 
 
 def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -393,5 +409,10 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from oracle_sql import ORACLES
 
-    keys = set(queries())
-    return {k: v for k, v in ORACLES.items() if k in keys}
+    out = {k: ORACLES[k] for k in _queries() if k in ORACLES}
+    if llm := _optional("wardstar.llm.registry"):
+        out.update(llm.oracles())
+    pipeline = _optional("corpus_pipeline")
+    if pipeline and pipeline.ORACLE_SQL:
+        out["pipeline"] = pipeline.ORACLE_SQL
+    return out

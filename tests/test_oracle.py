@@ -10,11 +10,11 @@ from compare import compare, duck
 from conftest import SF_CHECK, SF_SMALL
 
 SF = os.environ.get("WARDSTAR_ORACLE_SF", SF_SMALL)
-KEYS = sorted(E.queries())
+KEYS = sorted(E._queries())
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(KEYS)
+    assert set(KEYS) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
