@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("mixing",)
+MODULES = ("mixing", "simhash")
 
 
 def _merged(what: str) -> dict:
