@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("mixing", "simhash", "chat", "lm")
+MODULES = ("mixing", "simhash", "chat", "lm", "packing")
 
 
 def _merged(what: str) -> dict:
