@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +44,9 @@ def fold(doc_id: Column, modulus: int) -> Column:
 def lower_words(text: str | None) -> list[str]:
     """Words of a text after lower-casing A-Z (null: none)."""
     return WORD_RE.findall(text.translate(ASCII_LOWER)) if text else []
+
+
+def different(values: np.ndarray) -> np.ndarray:
+    """Distinct values in order."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values

@@ -37,7 +37,8 @@ ORDER = 5
 GRAMS = 1 << 20  # grams of one length that tasks get, at most
 WORDS = 1 << 18  # words that tasks get, at most
 _KEYS = 1 << 22  # keys counted at once
-_VOCABULARY = 1 << 19  # different words counted at once
+_DISTINCT = 1 << 21  # keys kept with a count before they are sent on
+_VOCABULARY = 1 << 18  # different words counted at once
 _BYTES = 1 << 17  # bytes scored at once, which stay in a core's cache
 END_WORD = b"\n"
 
@@ -60,14 +61,24 @@ def corpus_counts(train: DataFrame, order: int = ORDER) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
         keys: list[np.ndarray] = []
+        found: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out(gram: pa.Array, word: pa.Array, n: pa.Array) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([gram, word, n], names=["gram", "word", "n"])
 
-        def grams() -> pa.RecordBatch:
-            found = pc.value_counts(pa.array(np.concatenate(keys).view(np.int64)))
+        def count() -> None:
+            counted = pc.value_counts(pa.array(np.concatenate(keys).view(np.int64)))
+            found.append((counted.field(0).to_numpy(), counted.field(1).to_numpy()))
             keys.clear()
-            return out(found.field(0), pa.nulls(len(found), pa.binary()), found.field(1).cast(pa.int64()))
+
+        def grams() -> pa.RecordBatch:
+            gram, n = (np.concatenate(x) for x in zip(*found))
+            found.clear()
+            by = np.argsort(gram)
+            gram, n = gram[by], n[by]
+            first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+            gram, n = pa.array(gram[first]), pa.array(np.add.reduceat(n, first))
+            return out(gram, pa.nulls(len(gram), pa.binary()), n)
 
         def vocabulary() -> pa.RecordBatch:
             word, n = pa.array(words.keys(), pa.binary()), pa.array(words.values(), pa.int64())
@@ -75,17 +86,23 @@ def corpus_counts(train: DataFrame, order: int = ORDER) -> DataFrame:
             return out(pa.nulls(len(word), pa.int64()), word, n)
 
         for batch in batches:
-            for texts in _slices(map(normalised, batch.column(0).to_pylist()), _BYTES):
-                for text in texts:
-                    words.update(text.split())
-                words[END_WORD] += len(texts)
-                keys.append(packed(texts, order)[0])
-                if sum(map(len, keys)) >= _KEYS:
-                    yield grams()
-                if len(words) >= _VOCABULARY:
-                    yield vocabulary()
+            for at in range(0, batch.num_rows, 512):
+                for texts in _slices(map(normalised, batch.column(0).slice(at, 512).to_pylist()), _BYTES):
+                    for text in texts:
+                        words.update(text.split())
+                    words[END_WORD] += len(texts)
+                    keys.append(packed(texts, order)[0])
+                    if sum(map(len, keys)) >= _KEYS:
+                        count()
+                        if sum(len(k) for k, _ in found) >= _DISTINCT:
+                            yield grams()
+                    if len(words) >= _VOCABULARY:
+                        yield vocabulary()
         if words:
-            yield grams()
+            if keys:
+                count()
+            if found:
+                yield grams()
             yield vocabulary()
 
     found = train.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "gram long, word binary, n long")
@@ -168,7 +185,7 @@ def lm_scores(docs: DataFrame, held_out, order: int = ORDER, grams: int = GRAMS,
         trie, table_ = _model(name, lambda: shared.value)
         known = table_.get
         rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
-        for batch in batches:
+        for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
             texts = [normalised(x) for x in batch.column("text").to_pylist()]
             base, sizes, found, rare = [], [], [], []
             for text in texts:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import staged, table
+from wardstar.llm.common import different, staged, table
 from wardstar.llm.components import components
 
 SEED = 42
@@ -141,7 +141,7 @@ def linked(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
 
 def cell_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (member, least member) that connect what is within the radius in one cell."""
-    fps = np.unique(fps)
+    fps = different(fps)
     empty = np.array([], np.uint64)
     if len(fps) < 2:
         return empty, empty

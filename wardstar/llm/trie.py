@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from wardstar.llm.common import different
+
 END = 10  # the byte that ends a text; no word has it
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -37,15 +39,15 @@ def packed(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     Before a text stand end bytes, so that no context reaches into another text.
     """
     lead = bytes([END]) * order
-    data = np.frombuffer(b"".join(lead + t for t in texts), np.uint8).astype(np.uint64)
-    keys = data[order:].copy()
-    for back in range(1, order + 1):
-        keys |= data[order - back : len(data) - back] << np.uint64(8 * back)
+    data = b"".join([x for t in texts for x in (lead, t)]) + bytes(8)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    windows = np.ndarray((len(data) - 8 - order,), ">u8", data, strides=(1,))  # the eight bytes from each place on
+    keys = windows.astype(np.uint64)
+    keys >>= np.uint64(8 * (7 - order))
     ends = np.cumsum(lengths + order) - order
     inside = np.ones(len(keys), bool)
     for back in range(order):  # the leading end bytes of all texts but the first are no symbols
-        inside[(ends[:-1] + back)] = False
+        inside[ends[:-1] + back] = False
     return keys[inside], np.concatenate([[0], np.cumsum(lengths)[:-1]])
 
 
@@ -56,7 +58,8 @@ class Trie:
         self.order = order
         for n in range(order + 1, 1, -1):  # contexts before a text's first byte are no symbols: nodes of count 0
             of = keys[keys >> np.uint64(56) == n] & np.uint64((1 << 56) - 1)
-            more = np.setdiff1d(tagged(of >> np.uint64(8), n - 1), keys)
+            contexts = different(tagged(of >> np.uint64(8), n - 1))
+            more = contexts[~np.isin(contexts, keys, assume_unique=True, kind="sort")]
             keys, counts = np.concatenate([keys, more]), np.concatenate([counts, np.zeros(len(more), counts.dtype)])
         if not len(keys):  # an untrained trie has one node that nothing finds
             keys, counts = tagged(np.zeros(1, np.uint64), 255), np.zeros(1)
@@ -64,75 +67,94 @@ class Trie:
         keys, counts = keys[by], counts[by].astype(np.float64)
         length = (keys >> np.uint64(56)).astype(np.int64)
         self.bits = max(8, int(len(keys) * 2).bit_length())
-        self._build(keys)
-        grams = keys & np.uint64((1 << 56) - 1)
+        place = self._build(keys)
+        node = np.full(1 << self.bits, -1, np.int32)
+        node[place] = np.arange(len(keys), dtype=np.int32)
         # the context of a node, and the same symbol in the context shorter by its first byte
-        parent = np.full(len(keys), -1)
-        shorter = np.full(len(keys), -1)
-        for n in range(1, order + 2):
+        parent, shorter = np.full(len(keys), -1, np.int32), np.full(len(keys), -1, np.int32)
+        for n in range(2, order + 2):
             of = np.flatnonzero(length == n)
-            if n > 1:
-                parent[of] = self.find(tagged(grams[of] >> np.uint64(8), n - 1))
-                shorter[of] = self.find(tagged(grams[of] & np.uint64((1 << 8 * (n - 1)) - 1), n - 1))
-        total, kinds, lost = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
+            gram = keys[of] & np.uint64((1 << 56) - 1)
+            parent[of] = node[self.find(tagged(gram >> np.uint64(8), n - 1))]
+            shorter[of] = node[self.find(tagged(gram & np.uint64((1 << 8 * (n - 1)) - 1), n - 1))]
+        del node
         seen = counts > 0  # contexts by index + 1, the empty context at 0
-        np.add.at(total, parent + 1, counts)
-        np.add.at(kinds, parent + 1, seen)
-        deep = seen & (length > 1)
-        np.add.at(lost, parent[deep] + 1, counts[shorter[deep]])
+        size = len(keys) + 1
+        total = np.bincount(parent + 1, counts, size)
+        kinds = np.bincount(parent + 1, seen, size)
+        deep = np.flatnonzero(seen & (length > 1))
+        lost = np.bincount(parent[deep] + 1, counts[shorter[deep]], size)
         up = np.where(length > 1, shorter, -1) + 1  # the context below a node's own, as a context
-        left, left_kinds = total[up] - lost[1:], kinds[up] - kinds[1:]
+
+        def by_slot(values: np.ndarray) -> np.ndarray:
+            out = np.zeros(1 << self.bits, np.float32)
+            out[place] = values
+            return out
+
         with np.errstate(divide="ignore", invalid="ignore"):
-            self.fresh = np.log10((2 * counts - 1) / (2 * total[parent + 1]))
-            self.symbol = np.log10(2 * counts - 1)
-            self.escape = np.log10(kinds[1:] / (2 * total[1:]))
-            self.below = np.log10(2 * left)
-            self.below_escape = np.where(left_kinds > 0, np.log10(left_kinds / (2 * left)), 0.0)
-        self.seen, self.context = seen, kinds[1:] > 0
+            self.fresh = by_slot(np.log10((2 * counts - 1) / (2 * total[parent + 1])))
+            self.symbol = by_slot(np.log10(2 * counts - 1))
+            self.escape = by_slot(np.log10(kinds[1:] / (2 * total[1:])))
+            left, left_kinds = total[up] - lost[1:], kinds[up] - kinds[1:]
+            self.below = by_slot(np.log10(2 * left))
+            self.below_escape = by_slot(np.where(left_kinds > 0, np.log10(left_kinds / (2 * left)), 0.0))
+        self.seen, self.context = np.zeros(1 << self.bits, bool), np.zeros(1 << self.bits, bool)
+        self.seen[place], self.context[place] = seen, kinds[1:] > 0
         self.root_escape = np.log10(kinds[0] / (2 * total[0])) if total[0] else 0.0
         self.unseen = -np.log10(max(1.0, 256 - kinds[0]))
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * _MIX) >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def _build(self, keys: np.ndarray) -> None:
+    def _build(self, keys: np.ndarray) -> np.ndarray:
+        """Fill the table; the slot of each key."""
         size = 1 << self.bits
-        self.keys, self.node = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+        self.keys, place = np.zeros(size, np.uint64), np.zeros(len(keys), np.int64)
         todo, slot = np.arange(len(keys)), self._slot(keys)
         while len(todo):
-            free = self.node[slot] < 0
-            self.node[slot[free]] = todo[free]  # of several for a slot the last stays
-            won = self.node[slot] == todo
-            self.keys[slot[won]] = keys[todo[won]]
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = keys[todo[free]]  # of several for a slot the last stays
+            won = self.keys[slot] == keys[todo]
+            place[todo[won]] = slot[won]
             todo, slot = todo[~won], (slot[~won] + 1) & (size - 1)
+        return place
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """Node of each key, -1 if there is none."""
+        """Slot of each key, -1 if there is none."""
         slot = self._slot(keys)
         there = self.keys[slot]
-        out = np.where(there == keys, self.node[slot], np.int32(-1))
-        todo = np.flatnonzero((there != keys) & (there != 0))
-        while len(todo):
-            slot_ = (slot[todo] + 1) & ((1 << self.bits) - 1)
-            slot[todo] = slot_
-            there, want = self.keys[slot_], keys[todo]
-            hit = there == want
-            out[todo[hit]] = self.node[slot_[hit]]
-            todo = todo[~hit & (there != 0)]
+        other = np.flatnonzero(there != keys)
+        out = slot
+        if len(other):
+            at, want, there = slot[other], keys[other], there[other]
+            out[other] = -1
+            while True:
+                on = there != 0
+                other, at, want = other[on], (at[on] + 1) & ((1 << self.bits) - 1), want[on]
+                if not len(other):
+                    break
+                there = self.keys[at]
+                hit = there == want
+                out[other[hit]] = at[hit]
+                other, at, want, there = other[~hit], at[~hit], want[~hit], there[~hit]
         return out
 
     def score(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of each packed symbol in its context."""
-        out = np.zeros(len(keys))
-        todo, left = np.arange(len(keys)), keys
-        above = np.full(len(keys), -1, np.int32)  # the longer context just escaped from
+        top = self.find(tagged(keys, self.order + 1))
+        done = (top >= 0) & self.seen[top]
+        out = np.where(done, self.fresh[top], np.float32(0)).astype(np.float64)  # most symbols need no escape
+        todo = np.flatnonzero(~done)
+        left = keys[todo]
+        above = np.full(len(todo), -1)  # the longer context just escaped from
         for n in range(self.order + 1, 0, -1):
             grams = left & np.uint64((1 << 8 * n) - 1)
-            node = self.find(tagged(grams, n))
-            hit = (node >= 0) & self.seen[node]
-            at, of = node[hit], above[hit]
-            out[todo[hit]] += np.where(of < 0, self.fresh[at], self.symbol[at] - self.below[of])
-            todo, left, above, grams = todo[~hit], left[~hit], above[~hit], grams[~hit]
+            if n <= self.order:
+                node = self.find(tagged(grams, n))
+                hit = (node >= 0) & self.seen[node]
+                at, of = node[hit], above[hit]
+                out[todo[hit]] += np.where(of < 0, self.fresh[at], self.symbol[at] - self.below[of])
+                todo, left, above, grams = todo[~hit], left[~hit], above[~hit], grams[~hit]
             if not len(todo):
                 return out
             if n == 1:
@@ -142,5 +164,5 @@ class Trie:
             known = (here >= 0) & self.context[here]
             cost = np.where(above < 0, self.escape[here], self.below_escape[above])
             out[todo] += np.where(known, cost, 0.0)
-            above = np.where(known, here, np.int32(-1))
+            above = np.where(known, here, -1)
         return out
