@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("mixing", "simhash", "chat", "lm", "toxicity", "packing")
+MODULES = ("mixing", "simhash", "chat", "lm", "toxicity", "packing", "langid")
 
 
 def _merged(what: str) -> dict:
