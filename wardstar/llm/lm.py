@@ -34,13 +34,14 @@ from wardstar.llm.common import fold, staged, table
 from wardstar.llm.trie import Trie, normalised, packed, tagged
 
 ORDER = 5
-GRAMS = 1 << 20  # grams of one length that tasks get, at most
+GRAMS = 1 << 19  # grams of one length that tasks get, at most
 WORDS = 1 << 18  # words that tasks get, at most
-_KEYS = 1 << 22  # keys counted at once
-_DISTINCT = 1 << 21  # keys kept with a count before they are sent on
-_VOCABULARY = 1 << 18  # different words counted at once
+_KEYS = 1 << 21  # keys counted at once
+_DISTINCT = 1 << 20  # keys kept with a count before they are sent on
+_VOCABULARY = 1 << 17  # different words counted at once
 _BYTES = 1 << 17  # bytes scored at once, which stay in a core's cache
 END_WORD = b"\n"
+_BUILT: dict[str, tuple] = {}  # the model of a Python worker
 
 
 def _slices(texts: Iterator[bytes], size: int) -> Iterator[list[bytes]]:
@@ -59,6 +60,7 @@ def corpus_counts(train: DataFrame, order: int = ORDER) -> DataFrame:
     """Counts of all ``order + 1``-byte grams (gram, packed) and all words (word) of ``train(text)``: gram, word, n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _BUILT.clear()  # a worker that scored before
         words: Counter = Counter()
         keys: list[np.ndarray] = []
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -68,8 +70,10 @@ def corpus_counts(train: DataFrame, order: int = ORDER) -> DataFrame:
 
         def count() -> None:
             counted = pc.value_counts(pa.array(np.concatenate(keys).view(np.int64)))
-            found.append((counted.field(0).to_numpy(), counted.field(1).to_numpy()))
+            found.append((counted.field(0).to_numpy().copy(), counted.field(1).to_numpy().copy()))
             keys.clear()
+            del counted
+            pa.default_memory_pool().release_unused()
 
         def grams() -> pa.RecordBatch:
             gram, n = (np.concatenate(x) for x in zip(*found))
@@ -146,9 +150,6 @@ def frequent_words(counts: DataFrame, bound: int = WORDS) -> dict[bytes, int]:
     return dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))
 
 
-_BUILT: dict[str, tuple] = {}
-
-
 def _model(name: str, parts: Callable[[], tuple]) -> tuple[Trie, dict[bytes, float]]:
     """The trie and the word table, built once in each Python worker."""
     if name not in _BUILT:

@@ -66,7 +66,7 @@ class Trie:
         by = np.argsort(keys)
         keys, counts = keys[by], counts[by].astype(np.float64)
         length = (keys >> np.uint64(56)).astype(np.int64)
-        self.bits = max(8, int(len(keys) * 2).bit_length())
+        self.bits = max(8, int(len(keys) * 1.6).bit_length())
         place = self._build(keys)
         node = np.full(1 << self.bits, -1, np.int32)
         node[place] = np.arange(len(keys), dtype=np.int32)
