@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +54,43 @@ def different(values: np.ndarray) -> np.ndarray:
     """Distinct values in order."""
     values = np.sort(values)
     return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Groups of rows that stand together in sorted batches, one table each; only the current group is held."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        for lo, hi in itertools.pairwise([0, *cuts.tolist(), batch.num_rows]):
+            now = tuple(c[lo] for c in columns)
+            if held and now != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def matrix(vectors: pa.ChunkedArray, width: int | None = None) -> np.ndarray:
+    """Lists of numbers as rows; shorter ones are continued with zeros."""
+    flat = vectors.combine_chunks()
+    flat = flat if isinstance(flat, pa.Array) else pa.concat_arrays(flat.chunks)
+    lengths = pa.compute.list_value_length(flat).to_numpy()
+    values = flat.flatten().to_numpy()
+    width = max(width or 0, int(lengths.max(initial=0)))
+    if (lengths == width).all():
+        return values.reshape(len(flat), width)
+    out = np.zeros((len(flat), width), values.dtype)
+    out[np.arange(width) < lengths[:, None]] = values
+    return out
+
+
+def finite(vector: Column) -> Column:
+    """Whether a vector column is there and all its components are numbers (none null, NaN or infinite)."""
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return vector.isNotNull() & ~F.coalesce(bad, F.lit(False))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import staged, table
+from wardstar.llm.common import grouped, staged, table
 
 WINDOW = 2048
 END_ID = 1
@@ -212,11 +212,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, group:
     schema = f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by group; a group at a time."""
-        held: list[pa.RecordBatch] = []
-
-        def done() -> pa.RecordBatch:
-            rows = pa.Table.from_batches(held)
+        for rows in grouped(batches, ("group",)):
             number = rows.column("group")[0].as_py()
             doc, ids, tokens, start = (rows.column(c).to_pylist() for c in ("doc_id", "ids", "doc_tokens", "start"))
             out = []
@@ -227,20 +223,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, group:
                     offset += n
             fields = (rows.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
             names = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), fields)], names=names)
-
-        for batch in batches:
-            groups_ = batch.column("group").to_numpy()
-            cuts = [0, *(np.flatnonzero(groups_[1:] != groups_[:-1]) + 1).tolist(), len(groups_)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                if hi == lo:
-                    continue
-                if held and held[-1].column("group")[-1].as_py() != groups_[lo]:
-                    yield done()
-                    held.clear()
-                held.append(batch.slice(lo, hi - lo))
-        if held:
-            yield done()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), fields)], names=names)
 
     spread = F.xxhash64("doc_id", "doc_tokens", F.crc32("ids"))
     dealt = rests.withColumn("group", F.pmod(spread, F.lit(groups)).cast("long"))

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import different, staged, table
+from wardstar.llm.common import different, grouped, staged, table
 from wardstar.llm.components import components
 
 SEED = 42
@@ -200,27 +200,10 @@ def links(distinct_fps: DataFrame, radius: int = 4) -> DataFrame:
     grid = grid.select("mask", "value", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = ("mask", "value", "a", "b")
-        held: list[list[np.ndarray]] = []
-
-        def done(parts: list[list[np.ndarray]]) -> pa.RecordBatch | None:
-            u, v = cell_links(np.concatenate([p[4] for p in parts]).view(np.uint64), radius)
-            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (u, v)], names=["u", "v"]) if len(u) else None
-
-        for batch in batches:
-            cols = [batch.column(c).to_numpy() for c in (*keys, "fp")]
-            if not len(cols[0]):
-                continue
-            new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols[:4]], axis=0)) + 1
-            for lo, hi in itertools.pairwise([0, *new.tolist(), len(cols[0])]):
-                piece = [c[lo:hi] for c in cols]
-                if held and any(held[-1][i][-1] != piece[i][0] for i in range(4)):
-                    if out := done(held):
-                        yield out
-                    held = []
-                held.append(piece)
-        if held and (out := done(held)):
-            yield out
+        for cell in grouped(batches, ("mask", "value", "a", "b")):
+            u, v = cell_links(cell.column("fp").to_numpy().view(np.uint64), radius)
+            if len(u):
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (u, v)], names=["u", "v"])
 
     dealt = grid.repartition("mask", "value", "a", "b").sortWithinPartitions("mask", "value", "a", "b")
     return dealt.mapInArrow(run, "u long, v long")
