@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("mixing", "simhash", "chat", "lm", "topk", "toxicity", "packing", "langid")
+MODULES = ("mixing", "simhash", "chat", "lm", "topk", "toxicity", "packing", "ann", "langid")
 
 
 def _merged(what: str) -> dict:
