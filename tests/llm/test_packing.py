@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -15,6 +16,7 @@ from wardstar.llm import packing as P
 
 def check_pieces(rows, docs, window=2048, full=0.97):
     tok = Tokenizer.from_file(P.vocabulary_path())
+    tok.encode_special_tokens = True
     want = Counter()
     for d, t in docs:
         ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
@@ -64,6 +66,19 @@ def test_edges(spark, group):
     assert P.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_word_caches_do_not_change_ids(monkeypatch):
+    tok = Tokenizer.from_file(P.vocabulary_path())
+    tok.encode_special_tokens = True
+    docs = pq.read_table(f"{SF_SMALL}/documents.parquet", columns=["text"]).column(0).to_pylist()
+    docs += ["Don't you'll, (x) a* b** İstanbul. ΣΑΣ, ﬁn² 3rd e\u0301a \u212bx, |a|b| 日本語。", "a\x1cb \u00a0c\u2003d"]
+    for cache in (1 << 18, 50):
+        monkeypatch.setattr(P, "_CACHE", cache)
+        encoder = P.Encoder(P.vocabulary_path())
+        for at in range(0, len(docs), 37):
+            for text, ids in zip(docs[at : at + 37], encoder.encode(docs[at : at + 37])):
+                assert ids.tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_best_fill_is_closest():
     rnd = random.Random(3)
     for _ in range(200):

@@ -18,7 +18,8 @@ rests may be cut freely, so the least filled windows of a group are emptied
 into the others' slack, and what is left over is one window per group.
 
 A word's ids do not depend on the words around it (the tokenizer splits at
-white space), so a task encodes each distinct word once, in a bounded cache.
+white space), so a task keeps the ids of words in a bounded cache.  Strings of
+special tokens in a text are ordinary text.
 
 Defined results: null and empty texts are the end id alone; rows that repeat
 are documents of their own; no rows give no rows.
@@ -26,9 +27,9 @@ are documents of their own; no rows give no rows.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,9 +41,10 @@ from wardstar.llm.common import grouped, staged, table
 
 WINDOW = 2048
 END_ID = 1
-GROUP = 1 << 14  # rests packed together
-_CACHE = 1 << 18  # words whose ids a task keeps
+GROUP = 1 << 12  # rests packed together
+_CACHE = 1 << 19  # words whose ids a task keeps
 _SPACE = re.compile(r"[ \t\n\r]+")
+_TAIL = ".,;:!?*#$%&|)"
 
 
 def vocabulary_path() -> str:
@@ -52,37 +54,83 @@ def vocabulary_path() -> str:
 
 
 class Encoder:
-    """Ids of texts, word by word through a bounded cache."""
+    """Ids of texts, word by word through bounded caches.
+
+    The tokenizer never joins across white space, nor a run of letters with the
+    signs after it, so a word is its letters and its tail.  Letters that are
+    not cached are encoded many at once and cut apart where a word-end token
+    stands; whatever does not come apart that way is encoded by itself.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.ids: dict[str, np.ndarray] = {}
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.model._resize_cache(0)  # words come here once
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _alone(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
+        out: dict[str, bytes] = {}
+        together = [p for p in parts if p.isalpha()]
+        for at in range(0, len(together), 2048):
+            some = together[at : at + 2048]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) == len(some):
+                raw, begin = ids.tobytes(), 0
+                for part, cut in zip(some, cuts):
+                    out[part] = raw[4 * begin : 4 * cut]
+                    begin = cut
+        for part in parts:
+            if part not in out:
+                out[part] = self._alone(part)
+        return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; a text that holds a special token's string is encoded whole."""
-        out: list[np.ndarray | None] = [None] * len(texts)
-        cut: list[list[str] | None] = []
-        for i, text in enumerate(texts):
-            if any(s in text for s in self.special):
-                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-                cut.append(None)
+    def _encode_words(self, words: set[str]) -> dict[str, bytes]:
+        parts, plan = self.parts, []
+        for word in words:
+            core = word.rstrip(_TAIL)
+            if core.isalpha():
+                plan.append((word, core.lower() if core.isascii() else core, word[len(core) :]))
             else:
-                cut.append([w for w in _SPACE.split(text) if w])
-        if len(self.ids) > _CACHE:
-            self.ids.clear()
-        new = list({w for words in cut if words for w in words if w not in self.ids})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.ids[w] = np.array(e.ids, np.uint32).tobytes()
-        for i, words in enumerate(cut):
-            if words is not None:
-                out[i] = np.frombuffer(b"".join(map(self.ids.__getitem__, words)), np.uint32)
+                plan.append((word, word, ""))
+        new = {p for _, p, _ in plan}
+        new.update([t for _, _, t in plan])
+        more = self._encode_parts(list(new.difference(parts)))
+        parts.update(more)
+        out = {word: parts[letters] + parts[tail] for word, letters, tail in plan}
+        _trim(parts, more)
         return out
 
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        split = [[w for w in _SPACE.split(t) if w] if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
+        different: set[str] = set()
+        for words in split:
+            different.update(words)
+        known = self.words
+        new = self._encode_words(different.difference(known))
+        known.update(new)
+        out = [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
+        _trim(known, new)
+        return out
+
+
+def _trim(cache: dict, new: dict) -> None:
+    """Back to the bound: the first words to come stay, which are the frequent ones."""
+    over = len(cache) - _CACHE
+    if over > 0:
+        for key in list(itertools.islice(reversed(new), over)):
+            del cache[key]
+
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -180,8 +228,8 @@ def encoded_pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int
         encoder = _encoder(path)
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 texts = [x or "" for x in part.column("text").to_pylist()]
                 rows, tokens, starts, ids = [], [], [], []
                 for row, found in enumerate(encoder.encode(texts)):
