@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstar.llm.common import different, grouped, staged, table
@@ -223,6 +223,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
     return fps.join(of_fp, "fp")
 
 
+def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """``docs`` with one row of each component: the least doc_id (null last), of its rows one with the least text hash."""
+    near = near_duplicates(docs, shingle, radius)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("text_hash"))).alias("least")
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_key")
+    kept = near.groupBy("root").agg(least).select("least.*").select(key, F.col("text_hash").alias("_hash")).distinct()
+    rows = docs.withColumns({"_key": key, "_hash": F.xxhash64("text")}).join(kept, ["_key", "_hash"], "left_semi")
+    again = F.row_number().over(Window.partitionBy("_key", "_hash").orderBy("_hash"))  # rows that repeat
+    return rows.withColumn("_n", again).where("_n = 1").drop("_key", "_hash", "_n")
+
+
 def op2_simhash_near_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
