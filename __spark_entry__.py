@@ -107,7 +107,7 @@ def _affected_set_readmission(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     src, prev = _prior(spark, sf_dir)
     aff = I.affected_set(src, _cutoff(spark))
-    return I.widen_for_readmission(aff, src, prev["fact_encounters"], prev, prev.calendar[0])
+    return I.widen_for_readmission(aff, src, prev["fact_encounters"], prev)
 
 
 def _affected_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,8 +196,7 @@ def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wardstar.functions.keys import dense_keys
 
     ed = _src(spark, sf_dir)["encounter_diagnoses"].select("encounter_id", "diagnosis_sequence", "diagnosis_id")
-    # the distributed path (range partitions + checkpoint + offsets), whatever the size
-    return dense_keys(ed, ["encounter_id", "diagnosis_sequence", "diagnosis_id"], "row_key", small_rows=0)
+    return dense_keys(ed, ["encounter_id", "diagnosis_sequence", "diagnosis_id"], "row_key")
 
 
 def _warehouse(spark: SparkSession):
@@ -209,7 +208,7 @@ def _warehouse(spark: SparkSession):
     return Warehouse(spark, f"{checkpoint_dir(spark)}/wardstar-warehouse-{uuid.uuid4().hex}", create=True)
 
 
-def _full_then_incremental(spark: SparkSession, sf_dir: str, incremental: bool = True):
+def _full_then_incremental(spark: SparkSession, sf_dir: str):
     import datetime as dt
 
     from wardstar.plans.etl import full_refresh, incremental_run
@@ -218,15 +217,34 @@ def _full_then_incremental(spark: SparkSession, sf_dir: str, incremental: bool =
     src = _src(spark, sf_dir)
     wh = _warehouse(spark)
     full_refresh(prior_sources(src), wh, PRIOR_AS_OF, dt.datetime.fromisoformat(PRIOR_WATERMARK))
-    if incremental:
-        incremental_run(src, wh, AS_OF, dt.datetime.fromisoformat(AS_OF + " 00:00:00"))
+    incremental_run(src, wh, AS_OF, dt.datetime.fromisoformat(AS_OF + " 00:00:00"))
     return wh
 
 
 def _watermark_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W16 over a control table with one row per source table, stamped with the
+    table's latest change: the encounters' row failed, the departments' has no
+    watermark, the others succeeded."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
     from wardstar.operators.incremental import watermark_frame
+    from wardstar.sources.fixtures import SOURCE_TABLES
+    from wardstar.sources.snapshots import CONTROL_SCHEMA
+
+    src = _src(spark, sf_dir)
+
+    def row(number: int, name: str) -> DataFrame:
+        stamp = F.max("last_updated") if name != "departments" else F.lit(None)
+        made = src[name].agg(stamp.alias("last_watermark")).select(
+            F.lit(number).alias("control_id"), F.lit("INCREMENTAL").alias("load_type"), "last_watermark",
+            F.lit(None).alias("load_date"), F.lit(0).alias("records_processed"),
+            F.lit("FAILURE" if name == "encounters" else "SUCCESS").alias("status"), F.lit(None).alias("error_message"),
+        )
+        return made.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields])
 
-    return watermark_frame(_full_then_incremental(spark, sf_dir, incremental=False).control())
+    return watermark_frame(reduce(DataFrame.unionAll, [row(i, t) for i, t in enumerate(SOURCE_TABLES, 1)]))
 
 
 def _etl_control(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,11 +311,7 @@ def _readmission_same_specialty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fact_unknown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from wardstar.operators.fact import fact_encounters
-
-    src = _src(spark, sf_dir)
-    star = build_star(src, AS_OF)
-    return fact_encounters(src, star, star.calendar, load_date=AS_OF, unknown_key=-1)
+    return build_star(_src(spark, sf_dir), AS_OF, unknown_key=-1)["fact_encounters"]
 
 
 def _monthly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,7 +325,7 @@ def _fact_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     src = _src(spark, sf_dir)
     star = build_star(src, AS_OF)
-    return fact_billing(src["billing"], star, star.calendar)
+    return fact_billing(src["billing"], star)
 
 
 def _comparable(fn):

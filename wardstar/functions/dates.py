@@ -19,6 +19,7 @@ AGE_BAND_ELSE = "65+"
 OPEN_END_DATE = "9999-12-31"
 DEFAULT_WATERMARK = "2000-01-01 00:00:00"
 REFERENCE_CALENDAR = ("2000-01-01", "2101-01-01")
+CALENDAR_EPOCH = "1000-01-01"  # day 1 of the calendar keys; no source date is earlier
 
 
 def lit_date(d: str | _dt.date) -> Column:
@@ -63,13 +64,16 @@ def hours_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("HOUR", start, end).cast("int")
 
 
-def date_key(d: Column, calendar_start: str, calendar_end: str) -> Column:
-    """Calendar surrogate key of a date: day number from the calendar start
-    (1-based), NULL outside the calendar — the same value an inner/left
-    join to ``dim_date`` on ``calendar_date`` would return."""
+def date_key(d: Column, calendar_start: str | None = None, calendar_end: str | None = None) -> Column:
+    """Calendar surrogate key of a date: its day number from ``CALENDAR_EPOCH``
+    (1-based), so a calendar can grow at both ends without renumbering.  With
+    bounds given, NULL outside them — the same value an inner/left join to
+    ``dim_date`` on ``calendar_date`` would return."""
     day = d.cast("date")
-    inside = day.between(lit_date(calendar_start), lit_date(calendar_end))
-    return F.when(inside, F.datediff(day, lit_date(calendar_start)) + 1).cast("long")
+    key = (F.datediff(day, lit_date(CALENDAR_EPOCH)) + 1).cast("long")
+    if calendar_start is None or calendar_end is None:
+        return key
+    return F.when(day.between(lit_date(calendar_start), lit_date(calendar_end)), key)
 
 
 def month_label(d: Column) -> Column:

@@ -7,14 +7,8 @@ row is tagged with its (partition, position) via
 shared checkpoint folder (so a recomputation after executor loss cannot
 re-draw partition bounds), and per-partition row counts — one row per
 partition, a proven size bound — are prefix-summed and broadcast back.
-The result equals ``start_after + row_number() over (order by k)``.
-
-Inputs proven small (at most ``small_rows`` rows, checked by reading at
-most ``small_rows + 1`` of them) take that window directly: one task over
-a bounded set, deterministic on a unique order, so it needs no
-checkpoint — dimensions and the usual few new rows of an incremental run.
-The check evaluates the input, so callers whose input is an expensive
-pipeline of unknown size (the full-load fact) pass ``small_rows=0``.
+The result equals ``start_after + row_number() over (order by k)``,
+whatever the number of rows.
 """
 
 from __future__ import annotations
@@ -29,38 +23,22 @@ from ..session import checkpoint_dir
 _POS_BITS = 33  # monotonically_increasing_id: partition id in the upper 31 bits
 
 
-SMALL_ROWS = 1_000_000
-
-
 def dense_keys(
     df: DataFrame,
     order_by: Sequence[str | Column],
     key_col: str,
     start_after: int | Callable[[], int] = 0,
-    partitions: int | None = None,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Append ``key_col`` = ``start_after`` + 1-based rank in ``order_by`` order.
 
     ``order_by`` must be unique per row for the keys to be reproducible.
-    ``start_after`` may be a callable (e.g. the current maximum key), then
-    evaluated only when there are rows to number.
+    ``start_after`` may be a callable (e.g. the current maximum key).
     """
-    if small_rows:
-        n = df.limit(small_rows + 1).count()
-        if n == 0:
-            return df.withColumn(key_col, F.lit(None).cast("long"))
-        if n <= small_rows:
-            base = start_after() if callable(start_after) else start_after
-            rank = F.row_number().over(Window.orderBy(*order_by))
-            return df.withColumn(key_col, (F.lit(base) + rank).cast("long"))
     if callable(start_after):
         start_after = start_after()
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_dir(df.sparkSession)
     tagged = (
-        df.repartitionByRange(n, *order_by)
+        df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_ws_mid", F.monotonically_increasing_id())
         .checkpoint(eager=True)

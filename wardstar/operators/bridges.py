@@ -30,11 +30,11 @@ def bridge_dx(encounter_diagnoses: DataFrame, fact: DataFrame, dim_diagnosis: Da
 
 
 def bridge_px(
-    encounter_procedures: DataFrame, fact: DataFrame, dim_procedure: DataFrame, calendar: tuple[str, str]
+    encounter_procedures: DataFrame, fact: DataFrame, dim_procedure: DataFrame, calendar: tuple[str, str] | None = None
 ) -> DataFrame:
     """Earliest procedure date key per (encounter, procedure); dates
     outside the calendar drop, as with the inner join to ``dim_date``."""
-    start, end = calendar
+    start, end = calendar or (None, None)
     dated = encounter_procedures.select(
         "encounter_id", "procedure_id", date_key(F.col("procedure_date"), start, end).alias("procedure_date_key")
     ).where(F.col("procedure_date_key").isNotNull())

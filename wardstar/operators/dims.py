@@ -8,7 +8,7 @@ reference's ``AUTO_INCREMENT`` over an ordered insert.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from ..functions.dates import (
     OPEN_END_DATE,
     REFERENCE_CALENDAR,
     age_group,
+    date_key,
     lit_date,
     weekday_mon1,
 )
@@ -28,14 +29,14 @@ PATIENT_ATTRS = ("first_name", "last_name", "date_of_birth", "gender", "mrn")
 def dim_date(spark: SparkSession, start: str, end: str) -> DataFrame:
     """One row per day of ``[start, end]`` (both inclusive).
 
-    ``date_key`` is the 1-based day number, equal to ``AUTO_INCREMENT`` over
-    the ordered calendar.  Rows come from a distributed ``range``.
+    ``date_key`` is the day number from a fixed epoch (``functions.dates``), in
+    calendar order.  Rows come from a distributed ``range``.
     """
     d0 = _dt.date.fromisoformat(start)
     n = (_dt.date.fromisoformat(end) - d0).days + 1
     day = F.date_add(lit_date(d0), F.col("id").cast("int"))
     return spark.range(0, n).select(
-        (F.col("id") + 1).alias("date_key"),
+        date_key(day).alias("date_key"),
         day.alias("calendar_date"),
     ).select(
         "date_key",
@@ -48,10 +49,10 @@ def dim_date(spark: SparkSession, start: str, end: str) -> DataFrame:
     )
 
 
-def calendar_bounds(src: dict[str, DataFrame]) -> tuple[str, str]:
-    """Calendar covering the reference's 2000-01-01…2101-01-01 and every
-    date in the sources (whole years), so no fact falls off the calendar
-    for being early.  One-row aggregate, read on the driver."""
+def calendar_bounds(src: Mapping[str, DataFrame], cover: tuple[str, str] = REFERENCE_CALENDAR) -> tuple[str, str]:
+    """Calendar covering ``cover`` (default: the reference's 2000-01-01 to
+    2101-01-01) and every date in the sources (whole years), so no fact falls
+    off the calendar.  One-row aggregate, read on the driver."""
     dates = None
     for table, cols in (
         ("encounters", ("encounter_date", "discharge_date")),
@@ -62,8 +63,8 @@ def calendar_bounds(src: dict[str, DataFrame]) -> tuple[str, str]:
             part = src[table].select(F.col(c).cast("date").alias("d"))
             dates = part if dates is None else dates.unionByName(part)
     row = dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
-    start = _dt.date.fromisoformat(REFERENCE_CALENDAR[0])
-    end = _dt.date.fromisoformat(REFERENCE_CALENDAR[1])
+    start = _dt.date.fromisoformat(cover[0])
+    end = _dt.date.fromisoformat(cover[1])
     if row["lo"] is not None:
         start = min(start, _dt.date(row["lo"].year, 1, 1))
     if row["hi"] is not None:

@@ -8,7 +8,7 @@ broadcasts by their measured size; the three
 encounter-keyed measures (billing totals, diagnosis and procedure counts)
 are each pre-aggregated on ``encounter_id`` before they are joined, and
 all three joins share one ``encounter_id`` partitioning.  Calendar keys are
-day arithmetic against the calendar bounds, equal to joining ``dim_date``.
+day numbers from a fixed epoch, equal to joining ``dim_date``.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ def fact_rows(
     encounters: DataFrame,
     src: dict[str, DataFrame],
     dims: dict[str, DataFrame],
-    calendar: tuple[str, str],
+    calendar: tuple[str, str] | None,
     load_date: str | None,
     all_encounters: DataFrame | None = None,
     unknown_key: int | None = None,
@@ -65,9 +65,10 @@ def fact_rows(
     encounter date or discharge date does not resolve; with
     ``unknown_key`` set, every unresolved required reference (including a
     missing or out-of-calendar encounter/discharge date) gets that key
-    instead and no encounter is dropped (SURVEY X3).
+    instead and no encounter is dropped (SURVEY X3).  ``calendar=None``: the
+    calendar covers every date.
     """
-    start, end = calendar
+    start, end = calendar or (None, None)
     candidates = encounters if all_encounters is None else all_encounters
     e = readmission_flag(candidates, probes=encounters)
 
@@ -109,8 +110,8 @@ def fact_rows(
         date_key(F.col("claim_date"), start, end).alias("claim_date_key"),
         F.coalesce("diagnosis_count", F.lit(0)).cast("int").alias("diagnosis_count"),
         F.coalesce("procedure_count", F.lit(0)).cast("int").alias("procedure_count"),
-        F.coalesce("total_allowed", F.lit(0)).cast("decimal(12,2)").alias("total_allowed"),
-        F.coalesce("claim_amount", F.lit(0)).cast("decimal(12,2)").alias("claim_amount"),
+        F.coalesce("total_allowed", F.lit(0)).cast("decimal(22,2)").alias("total_allowed"),
+        F.coalesce("claim_amount", F.lit(0)).cast("decimal(22,2)").alias("claim_amount"),
         hours_between(F.col("encounter_date"), F.col("discharge_date")).alias("encounter_duration_hours"),
         "is_readmission",
         (lit_date(load_date) if load_date else F.lit(None).cast("date")).alias("load_date"),
@@ -120,11 +121,11 @@ def fact_rows(
 def fact_encounters(
     src: dict[str, DataFrame],
     dims: dict[str, DataFrame],
-    calendar: tuple[str, str],
+    calendar: tuple[str, str] | None = None,
     load_date: str | None = None,
     unknown_key: int | None = None,
 ) -> DataFrame:
     """Full-load fact, one row per resolvable encounter, keyed densely
     by ``encounter_id``."""
     rows = fact_rows(src["encounters"], src, dims, calendar, load_date, unknown_key=unknown_key)
-    return dense_keys(rows, ["encounter_id"], "encounter_key", small_rows=0).select(*FACT_COLUMNS)
+    return dense_keys(rows, ["encounter_id"], "encounter_key").select(*FACT_COLUMNS)

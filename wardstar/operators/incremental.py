@@ -19,8 +19,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import DEFAULT_WATERMARK, lit_date, lit_ts
+from ..functions.dates import CALENDAR_EPOCH, DEFAULT_WATERMARK, lit_date, lit_ts
 from ..functions.keys import dense_keys, max_key
+from ..session import checkpoint_dir
 from .bridges import bridge_dx, bridge_px
 from .fact import FACT_COLUMNS, fact_rows
 from .readmission import READMISSION_DAYS, READMISSION_TYPE, readmission_flag
@@ -63,33 +64,35 @@ def affected_set(src: Mapping[str, DataFrame], cutoff: _dt.datetime) -> DataFram
 
 
 def late_dimension_dependents(
-    src: Mapping[str, DataFrame], prev_dims: Mapping[str, DataFrame], changed: Mapping[str, DataFrame]
+    src: Mapping[str, DataFrame], prev: Mapping[str, DataFrame], now: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Encounters whose fact row depends on a dimension row this run adds or
-    re-points: a new patient (an encounter loaded before its patient was
-    dropped by the inner join and must now appear), an upserted provider
-    (its specialty is denormalised into the fact), a changed department or
-    specialty, a new encounter type.  Each test is a semi join of the
-    encounters with a small change set."""
-    e = src["encounters"]
-    new_patients = changed["patients"].select("patient_id").join(
-        prev_dims["dim_patient"].select("patient_id"), "patient_id", "left_anti"
-    )
-    providers = changed["providers"].select("provider_id").unionByName(
-        src["providers"].join(changed["specialties"].select("specialty_id"), "specialty_id", "left_semi")
+    """Encounters whose fact or bridge rows depend on a dimension row this run
+    adds or re-points (``prev``/``now``: dimensions before and after): a new
+    patient, department or encounter type (the inner joins dropped the
+    encounter until now), a provider that is new or whose specialty key
+    changed (it is denormalised into the fact), a new diagnosis or procedure
+    (its junction rows had no bridge row).  A change that alters no key, such
+    as a renamed specialty, reloads nothing.  Each test is a semi join with a
+    small set of keys."""
+
+    def new(dim: str, key: str) -> DataFrame:
+        return now[dim].select(key).join(prev[dim].select(key), key, "left_anti")
+
+    before = prev["dim_provider"].select("provider_id", F.col("specialty_key").alias("was"), F.lit(True).alias("there"))
+    providers = (
+        now["dim_provider"].join(before, "provider_id", "left")
+        .where(F.col("there").isNull() | ~F.col("specialty_key").eqNullSafe(F.col("was")))
         .select("provider_id")
     )
-    new_types = (
-        changed["encounters"].where(F.col("encounter_type").isNotNull())
-        .select(F.col("encounter_type").alias("type_name")).distinct()
-        .join(prev_dims["dim_encounter_type"].select("type_name"), "type_name", "left_anti")
-        .select(F.col("type_name").alias("encounter_type"))
-    )
+    e = src["encounters"]
+    types = new("dim_encounter_type", "type_name").select(F.col("type_name").alias("encounter_type"))
     parts = [
-        e.join(new_patients, "patient_id", "left_semi"),
+        e.join(new("dim_patient", "patient_id"), "patient_id", "left_semi"),
         e.join(providers, "provider_id", "left_semi"),
-        e.join(changed["departments"].select("department_id"), "department_id", "left_semi"),
-        e.join(new_types, "encounter_type", "left_semi"),
+        e.join(new("dim_department", "department_id"), "department_id", "left_semi"),
+        e.join(types, "encounter_type", "left_semi"),
+        src["encounter_diagnoses"].join(new("dim_diagnosis", "diagnosis_id"), "diagnosis_id", "left_semi"),
+        src["encounter_procedures"].join(new("dim_procedure", "procedure_id"), "procedure_id", "left_semi"),
     ]
     out = parts[0].select("encounter_id")
     for p in parts[1:]:
@@ -98,7 +101,7 @@ def late_dimension_dependents(
 
 
 def old_inpatient_versions(
-    fact: DataFrame, dims: Mapping[str, DataFrame], affected: DataFrame, calendar_start: str
+    fact: DataFrame, dims: Mapping[str, DataFrame], affected: DataFrame
 ) -> DataFrame:
     """Stored (pre-change) versions of affected inpatient encounters, as
     candidate readmission times.  The fact keeps the day only, so each day
@@ -109,7 +112,7 @@ def old_inpatient_versions(
         fact.join(affected, "encounter_id", "left_semi")
         .join(inpatient, "encounter_type_key", "left_semi")
         .join(dims["dim_patient"].select("patient_key", "patient_id"), "patient_key")
-        .select("patient_id", F.date_add(lit_date(calendar_start), (F.col("encounter_date_key") - 1).cast("int")).alias("day"))
+        .select("patient_id", F.date_add(lit_date(CALENDAR_EPOCH), (F.col("encounter_date_key") - 1).cast("int")).alias("day"))
     )
     first = old.select("patient_id", F.col("day").cast("timestamp_ntz").alias("encounter_date"))
     last = old.select(
@@ -126,7 +129,6 @@ def widen_for_readmission(
     src: Mapping[str, DataFrame],
     fact: DataFrame | None = None,
     dims: Mapping[str, DataFrame] | None = None,
-    calendar_start: str | None = None,
     days: int = READMISSION_DAYS,
 ) -> DataFrame:
     """Add encounters whose readmission look-ahead window contains
@@ -141,8 +143,8 @@ def widen_for_readmission(
         .where(F.col("encounter_type") == READMISSION_TYPE)
         .select("patient_id", "encounter_type", "encounter_date")
     )
-    if fact is not None and dims is not None and calendar_start is not None:
-        cands = cands.unionByName(old_inpatient_versions(fact, dims, affected, calendar_start))
+    if fact is not None and dims is not None:
+        cands = cands.unionByName(old_inpatient_versions(fact, dims, affected))
     probes = (
         e.join(cands.select("patient_id").distinct(), "patient_id", "left_semi")
         .select("encounter_id", "patient_id", "discharge_date", "encounter_date")
@@ -172,7 +174,6 @@ def fact_incremental(
     src: Mapping[str, DataFrame],
     dims: Mapping[str, DataFrame],
     affected: DataFrame,
-    calendar: tuple[str, str],
     as_of: str,
 ) -> tuple[DataFrame, DataFrame]:
     """(new fact, re-inserted rows).  Re-inserted facts keep their
@@ -182,9 +183,10 @@ def fact_incremental(
     part = restrict(src, affected)
     # readmission candidates: only the patients of the affected encounters
     cands = src["encounters"].join(part["encounters"].select("patient_id").distinct(), "patient_id", "left_semi")
-    rows = fact_rows(part["encounters"], part, dims, calendar, as_of, all_encounters=cands)
+    rows = fact_rows(part["encounters"], part, dims, None, as_of, all_encounters=cands)
     old_keys = fact.select("encounter_id", "encounter_key").join(affected, "encounter_id", "left_semi")
-    # O(changes): materialised once, then split into kept-key and new-key rows
+    checkpoint_dir(fact.sparkSession)
+    # materialised once, then split into kept-key and new-key rows
     rows = rows.join(old_keys, "encounter_id", "left").checkpoint(eager=True)
     reused = rows.where(F.col("encounter_key").isNotNull())
     fresh = dense_keys(
@@ -217,10 +219,9 @@ def bridge_px_rebuild(
     encounter_procedures: DataFrame,
     dim_procedure: DataFrame,
     affected: DataFrame,
-    calendar: tuple[str, str],
 ) -> DataFrame:
     """W22 (insert half)."""
-    return bridge_px(encounter_procedures.join(affected, "encounter_id", "left_semi"), inserted, dim_procedure, calendar)
+    return bridge_px(encounter_procedures.join(affected, "encounter_id", "left_semi"), inserted, dim_procedure)
 
 
 def replace_rows(table: DataFrame, removed_keys: DataFrame, added: DataFrame) -> DataFrame:
@@ -254,11 +255,10 @@ def bridge_px_incremental(
     encounter_procedures: DataFrame,
     dim_procedure: DataFrame,
     affected: DataFrame,
-    calendar: tuple[str, str],
 ) -> DataFrame:
     """As W21 for procedures."""
     return replace_rows(
         bridge,
         reloaded_keys(old_fact, inserted, affected),
-        bridge_px_rebuild(inserted, encounter_procedures, dim_procedure, affected, calendar),
+        bridge_px_rebuild(inserted, encounter_procedures, dim_procedure, affected),
     )

@@ -1,13 +1,7 @@
 """30-day readmission flag (W11) as a skew-safe range-existence operator.
 
-Reference semantics (per index encounter ``e``)::
-
-    EXISTS (SELECT 1 FROM encounters e2
-            WHERE e2.patient_id = e.patient_id
-              AND e2.encounter_type = 'Inpatient'
-              AND e2.encounter_date BETWEEN e.discharge_date
-                                        AND e.discharge_date + INTERVAL 30 DAY
-              AND e2.encounter_id != e.encounter_id)
+An index stay is flagged when its patient has another qualifying stay that
+begins on or after the discharge and at most the window later.
 
 A plain equi-join on ``patient_id`` with a range residual compares every
 pair of one patient's encounters, so a single hot patient holding a large
@@ -21,9 +15,9 @@ share of the rows turns into a quadratic task.  Here no pairs are formed:
 2. ``[d, d + W days]`` always covers the tail of bucket ``k = ⌊day(d)/W⌋``
    and the head of bucket ``k + 1``.  The tail holds a hit iff its latest
    time is ``>= d``; the head iff its earliest time is ``<= d + W``.
-3. The index stay itself may be a candidate (same patient, inpatient);
-   it only matters when its own timestamp ``s`` is one of those extremes,
-   and then the multiplicity at ``s`` or the second extreme decides.
+3. The index stay itself may be a candidate (same patient, inpatient).
+   That matters only for a stay discharged no later than it began; for those
+   the multiplicity at an extreme, or the second extreme, decides.
 
 Each index encounter then needs one equi-join with a table holding at most
 one row per (patient, bucket); AQE's skew-join split handles a hot join key
@@ -99,6 +93,32 @@ def bucket_summaries(
     )
 
 
+def bucket_extremes(
+    encounters: DataFrame, match_cols: Sequence[str], days: int, readmit_type: str
+) -> DataFrame:
+    """One row per (match cols, bucket ``k``): the latest time of bucket ``k``
+    (``m1``) and the earliest of bucket ``k + 1`` (``n1``), in one aggregation."""
+    keys = list(match_cols)
+    t = encounters.where(
+        (F.col("encounter_type") == readmit_type) & F.col("encounter_date").isNotNull()
+    ).select(*keys, F.col("encounter_date").alias("t"))
+    b = _bucket(F.col("t"), days)
+    roles = t.select(
+        *keys,
+        "t",
+        F.explode(
+            F.array(
+                F.struct(b.alias("k"), F.lit(True).alias("tail")),
+                F.struct((b - 1).alias("k"), F.lit(False).alias("tail")),
+            )
+        ).alias("r"),
+    ).select(*keys, "t", "r.k", "r.tail")
+    return roles.groupBy(*keys, "k").agg(
+        F.max(F.when(F.col("tail"), F.col("t"))).alias("m1"),
+        F.min(F.when(~F.col("tail"), F.col("t"))).alias("n1"),
+    )
+
+
 def readmission_flag(
     encounters: DataFrame,
     probes: DataFrame | None = None,
@@ -114,22 +134,25 @@ def readmission_flag(
     carry ``encounter_id, encounter_type, encounter_date, discharge_date``
     and ``match_cols``.  ``match_cols=("patient_id", "specialty_id")`` gives
     the documented same-specialty variant.
+
+    A stay can only be its own hit if its own time lies in its window, that
+    is if it was discharged no later than admitted.  All other stays need the
+    two extreme times of a bucket and nothing else; the odd ones take the
+    exact path, over the candidates of their patients only.
     """
     keys = list(match_cols)
     probes = encounters if probes is None else probes
-    summary = bucket_summaries(encounters, keys, days, readmit_type)
-    d = F.col("discharge_date")
+    d, t = F.col("discharge_date"), F.col("encounter_date")
     end = d + F.make_dt_interval(F.lit(days))
-    # own timestamp when the probe is itself a candidate readmission
-    s = F.when(F.col("encounter_type") == readmit_type, F.col("encounter_date"))
-    p = probes.withColumn("_ws_s", s).withColumn("k", _bucket(d, days))
-    j = p.join(summary, [*keys, "k"], "left")
-    own = F.col("_ws_s")
-    tail_hit = ((F.col("m1") >= d) & (own.isNull() | (F.col("m1") != own) | (F.col("cm1") >= 2))) | (
-        F.col("m2") >= d
-    )
-    head_hit = ((F.col("n1") <= end) & (own.isNull() | (F.col("n1") != own) | (F.col("cn1") >= 2))) | (
-        F.col("n2") <= end
-    )
-    flag = d.isNotNull() & (F.coalesce(tail_hit, F.lit(False)) | F.coalesce(head_hit, F.lit(False)))
-    return j.withColumn(flag_col, flag).drop("k", "_ws_s", "m1", "cm1", "m2", "n1", "cn1", "n2")
+    odd = F.coalesce((F.col("encounter_type") == readmit_type) & t.between(d, end), F.lit(False))
+    p = probes.withColumn("k", _bucket(d, days))
+
+    plain = p.where(~odd).join(bucket_extremes(encounters, keys, days, readmit_type), [*keys, "k"], "left")
+    plain = plain.withColumn(flag_col, F.coalesce((F.col("m1") >= d) | (F.col("n1") <= end), F.lit(False)))
+
+    theirs = encounters.join(probes.where(odd).select(*keys).distinct(), keys, "left_semi")
+    exact = p.where(odd).join(bucket_summaries(theirs, keys, days, readmit_type), [*keys, "k"], "left")
+    tail_hit = ((F.col("m1") >= d) & ((F.col("m1") != t) | (F.col("cm1") >= 2))) | (F.col("m2") >= d)
+    head_hit = ((F.col("n1") <= end) & ((F.col("n1") != t) | (F.col("cn1") >= 2))) | (F.col("n2") <= end)
+    exact = exact.withColumn(flag_col, F.coalesce(tail_hit, F.lit(False)) | F.coalesce(head_hit, F.lit(False)))
+    return plain.drop("k", "m1", "n1").unionByName(exact.drop("k", "m1", "cm1", "m2", "n1", "cn1", "n2"))

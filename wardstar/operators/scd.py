@@ -48,8 +48,6 @@ def type1_upsert(
 ) -> DataFrame:
     """Upsert ``source`` (one row per natural key) into ``target``."""
     cols = [key_col, natural_key, *attrs]
-    if source.limit(1).count() == 0:  # nothing changed: the target stands
-        return target.select(*cols)
     src = source.select(natural_key, *attrs, F.lit(True).alias("_ws_src"))
     t = target.select(*cols)
     merged = t.alias("t").join(src.alias("s"), natural_key, "left").select(
@@ -86,8 +84,6 @@ def scd2(
     derived = dict(derived or {})
     day = lit_date(as_of)
     cols = target.columns
-    if changes.limit(1).count() == 0:  # nothing changed: the target stands
-        return target
     cur = target.where(F.col("is_current")).select(
         natural_key,
         F.col(key_col).alias("_ws_key"),

@@ -40,44 +40,47 @@ def _padded_month(year: str = "year", month: str = "month"):
 
 
 def q1_monthly_encounters_oltp(src: dict[str, DataFrame]) -> DataFrame:
-    """Encounters and distinct patients per month × specialty × type."""
+    """Encounters and distinct patients per month × specialty × type.
+
+    Counted per patient first, then summed: both counts from one pair of plain
+    aggregations (``encounter_id`` is the key, so rows are encounters)."""
     e = src["encounters"].join(_provider_specialty(src), "provider_id")
+    group = ("month", "specialty_name", "encounter_type")
+    per_patient = e.groupBy(
+        month_label(F.col("encounter_date")).alias("month"), "specialty_name", "encounter_type", "patient_id"
+    ).agg(F.count("encounter_id").alias("n"))
     return (
-        e.groupBy(month_label(F.col("encounter_date")).alias("month"), "specialty_name", "encounter_type")
-        .agg(
-            F.count_distinct("encounter_id").alias("total_encounters"),
-            F.count_distinct("patient_id").alias("unique_patients"),
-        )
-        .orderBy("month", "specialty_name", "encounter_type")
+        per_patient.groupBy(*group)
+        .agg(F.sum("n").alias("total_encounters"), F.count("patient_id").alias("unique_patients"))
+        .orderBy(*group)
     )
 
 
-def q1_monthly_encounters_star(star: dict[str, DataFrame], distinct_patient_col: str | None = None) -> DataFrame:
-    """Same question on the fact (``COUNT(*)`` per group).
+def q1_monthly_encounters_star(star: dict[str, DataFrame]) -> DataFrame:
+    """Same question on the fact.
 
-    Facts bind to the patient version current when they were loaded, so
-    once Type 2 history exists distinct ``patient_key`` counts versions;
-    then (or with ``distinct_patient_col='patient_id'``) patients are
-    counted through the dimension (SURVEY D15).  Without history the key
-    is the patient and no extra join is needed."""
-    if distinct_patient_col is None:
-        history = star["dim_patient"].where(~F.col("is_current")).limit(1).count() > 0
-        distinct_patient_col = "patient_id" if history else "patient_key"
-    f = star["fact_encounters"]
-    if distinct_patient_col == "patient_id":
-        f = f.join(star["dim_patient"].select("patient_key", "patient_id"), "patient_key")
+    Facts bind to the patient version current when they were loaded, so Type 2
+    history gives one patient several keys (SURVEY D15): facts are counted per
+    group and ``patient_key``, keys mapped to ``patient_id``, then counted per
+    patient and summed.  A key without a dimension row stands for itself."""
     dd = star["dim_date"].select("date_key", "year", "month")
     ds = star["dim_specialty"].select("specialty_key", "specialty_name")
     det = star["dim_encounter_type"].select("encounter_type_key", "type_name")
-    j = (
-        f.join(dd, f["encounter_date_key"] == dd["date_key"])
-        .join(ds, "specialty_key")
-        .join(det, "encounter_type_key")
+    keys = ("encounter_date_key", "specialty_key", "encounter_type_key")
+    f = star["fact_encounters"]
+    j = f.join(dd, f[keys[0]] == dd["date_key"]).join(ds, keys[1]).join(det, keys[2])
+    group = ("year", "month", "specialty_name", "type_name")
+    per_key = j.groupBy(*group, "patient_key").agg(F.count(F.lit(1)).alias("n"))
+    patients = star["dim_patient"].select("patient_key", "patient_id")
+    per_patient = (
+        per_key.join(patients, "patient_key", "left")
+        .groupBy(*group, F.coalesce("patient_id", "patient_key").alias("patient_id"))
+        .agg(F.sum("n").alias("n"))
     )
     return (
-        j.groupBy("year", "month", "specialty_name", "type_name")
-        .agg(F.count(F.lit(1)).alias("total_encounters"), F.count_distinct(distinct_patient_col).alias("unique_patients"))
-        .orderBy("year", "month", "specialty_name", "type_name")
+        per_patient.groupBy(*group)
+        .agg(F.sum("n").alias("total_encounters"), F.count("patient_id").alias("unique_patients"))
+        .orderBy(*group)
         .select(
             _padded_month().alias("month"),
             "specialty_name",
@@ -140,12 +143,7 @@ def q3_readmission_oltp(src: dict[str, DataFrame], days: int = 30) -> DataFrame:
     j = flagged.join(_provider_specialty(src), "provider_id")
     return (
         j.groupBy("specialty_name")
-        .agg(
-            (
-                F.count_distinct(F.when(F.col("readmitted"), F.col("encounter_id")))
-                / F.count_distinct("encounter_id")
-            ).alias("readmission_rate")
-        )
+        .agg(F.avg(F.col("readmitted").cast("int")).alias("readmission_rate"))
         .orderBy(F.desc("readmission_rate"))
     )
 
@@ -174,7 +172,7 @@ def q4_revenue_oltp(src: dict[str, DataFrame]) -> DataFrame:
     )
     return (
         j.groupBy(month_label(F.col("encounter_date")).alias("month"), "specialty_name")
-        .agg(F.sum("total_allowed").cast("double").alias("total_allowed"))
+        .agg(F.sum("total_allowed").alias("total_allowed"))
         .orderBy("month", F.desc("total_allowed"))
     )
 
@@ -188,7 +186,7 @@ def q4_revenue_star(star: dict[str, DataFrame]) -> DataFrame:
     j = f.join(dd, f["encounter_date_key"] == dd["date_key"]).join(ds, "specialty_key")
     return (
         j.groupBy("year", "month", "specialty_name")
-        .agg(F.sum("total_allowed").cast("double").alias("total_allowed"))
+        .agg(F.sum("total_allowed").alias("total_allowed"))
         .orderBy("year", "month", F.desc("total_allowed"))
         .select(
             F.concat(F.col("year").cast("string"), F.lit("-"), F.col("month").cast("string")).alias("month"),
@@ -207,7 +205,7 @@ def q4_revenue_oltp_claim(src: dict[str, DataFrame]) -> DataFrame:
     )
     return (
         j.groupBy(month_label(F.col("claim_date")).alias("month"), "specialty_name")
-        .agg(F.sum("allowed_amount").cast("double").alias("total_allowed"))
+        .agg(F.sum("allowed_amount").alias("total_allowed"))
         .orderBy("month", F.desc("total_allowed"))
     )
 
@@ -220,7 +218,7 @@ def q4_revenue_star_claim(star: dict[str, DataFrame]) -> DataFrame:
     j = f.join(dd, f["claim_date_key"] == dd["date_key"]).join(ds, "specialty_key")
     return (
         j.groupBy("year", "month", "specialty_name")
-        .agg(F.sum("total_allowed").cast("double").alias("total_allowed"))
+        .agg(F.sum("total_allowed").alias("total_allowed"))
         .select(_padded_month().alias("month"), "specialty_name", "total_allowed")
         .orderBy("month", F.desc("total_allowed"))
     )

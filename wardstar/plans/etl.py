@@ -2,12 +2,11 @@
 
 Both publish into a ``Warehouse`` (``sources.snapshots``): each table is
 stored and read back before the next table uses it (the lineage is cut
-there, and stored tables carry real size statistics for the join
-planner) — dimensions into the run's own directories, fact and bridges
-by a full refresh into key blocks that incremental runs replace in place
-block by block; the control row is appended last.  On failure a FAILURE
-row with the error message is appended instead, as the reference's
-trigger script does, and the exception propagates.
+there, and stored tables carry real size statistics for the join planner);
+the control row is appended last and makes the run visible.  On failure a
+FAILURE row with the error message is appended instead, as the reference's
+trigger script does, and the exception propagates; nothing of an earlier
+run has been touched.
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ from ..operators import incremental as I
 from ..operators import scd
 from ..operators.dims import PATIENT_ATTRS
 from ..functions.dates import age_group, lit_ts
+from ..session import checkpoint_dir
 from ..sources.snapshots import BLOCK_COL, Warehouse, key_block
 from .star import STAR_TABLES, build_star
 from .summaries import monthly_summary
@@ -39,7 +39,7 @@ def _audited(wh: Warehouse, load_type: str, as_of: str, body):
     try:
         watermark, records = body(run_id)
     except Exception as ex:  # the failure is recorded, then re-raised
-        wh.append_control(run_id, load_type, None, _run_ts(as_of), 0, "FAILURE", str(ex)[:4000])
+        wh.append_control(run_id, load_type, None, _run_ts(as_of), 0, "FAILURE", str(ex))
         raise
     wh.append_control(run_id, load_type, watermark, _run_ts(as_of), records, "SUCCESS")
     return run_id
@@ -83,8 +83,8 @@ def incremental_tables(
 
     ``sink(name, df) -> df`` stores a table and returns it read back; the
     default keeps everything lazy.  ``block_writer(name, removed_keys,
-    added_rows) -> df``, when given, applies the fact and bridge changes
-    in place instead of materialising whole new tables.  Returns the new
+    added_rows) -> df``, when given, writes the fact and bridge blocks that
+    change instead of whole new tables.  Returns the new
     tables and the (re)inserted fact rows."""
     sink = sink or (lambda name, df: df)
     watermark = I.read_watermark(control)
@@ -94,10 +94,16 @@ def incremental_tables(
     def changed(t: str) -> DataFrame:
         return src[t].where(F.col("last_updated") > wm)
 
+    # the calendar grows at both ends with the dates of the changed rows; keys count from a fixed epoch
     cal_row = prev["dim_date"].agg(F.min("calendar_date").alias("lo"), F.max("calendar_date").alias("hi")).first()
-    calendar = (cal_row["lo"].isoformat(), cal_row["hi"].isoformat())
+    calendar = D.calendar_bounds(
+        {t: changed(t) for t in ("encounters", "encounter_procedures", "billing")},
+        cover=(cal_row["lo"].isoformat(), cal_row["hi"].isoformat()),
+    )
 
-    out: dict[str, DataFrame] = {"dim_date": prev["dim_date"]}
+    out: dict[str, DataFrame] = {
+        "dim_date": sink("dim_date", D.dim_date(src["encounters"].sparkSession, *calendar))
+    }
     # specialty and department before provider so provider keys resolve
     out["dim_specialty"] = sink("dim_specialty", scd.type1_upsert(
         prev["dim_specialty"], changed("specialties"), "specialty_id", "specialty_key",
@@ -105,8 +111,16 @@ def incremental_tables(
     out["dim_department"] = sink("dim_department", scd.type1_upsert(
         prev["dim_department"], changed("departments"), "department_id", "department_key",
         ["department_name", "floor", "capacity"]))
+    # a provider resolves anew when it changed or when its specialty or department did
+    touched = src["providers"].select("provider_id", "specialty_id", "department_id")
+    touched = (
+        changed("providers").select("provider_id")
+        .unionByName(touched.join(changed("specialties"), "specialty_id", "left_semi").select("provider_id"))
+        .unionByName(touched.join(changed("departments"), "department_id", "left_semi").select("provider_id"))
+    )
+    providers = src["providers"].join(touched, "provider_id", "left_semi")
     out["dim_provider"] = sink("dim_provider", scd.type1_upsert(
-        prev["dim_provider"], D.provider_rows(changed("providers"), out["dim_specialty"], out["dim_department"]),
+        prev["dim_provider"], D.provider_rows(providers, out["dim_specialty"], out["dim_department"]),
         "provider_id", "provider_key", ["first_name", "last_name", "credential", "specialty_key", "department_key"]))
     out["dim_encounter_type"] = sink("dim_encounter_type", scd.type1_upsert(
         prev["dim_encounter_type"], D.encounter_types(changed("encounters")), "type_name", "encounter_type_key", []))
@@ -120,24 +134,19 @@ def incremental_tables(
         prev["dim_patient"], changed("patients"), "patient_id", "patient_key", PATIENT_ATTRS, as_of,
         derived={"age_group": lambda day: age_group(F.col("date_of_birth"), day)}, null_safe=null_safe))
 
-    changes = {t: changed(t) for t in ("patients", "providers", "specialties", "departments", "encounters")}
-    affected = I.affected_set(src, cutoff).unionByName(I.late_dimension_dependents(src, prev, changes)).distinct()
+    affected = I.affected_set(src, cutoff).unionByName(I.late_dimension_dependents(src, prev, out)).distinct()
     if widen:
-        affected = I.widen_for_readmission(
-            affected, src, prev["fact_encounters"], out, calendar_start=calendar[0]
-        )
+        affected = I.widen_for_readmission(affected, src, prev["fact_encounters"], out)
     # one frozen encounter set for delete, re-insert and both bridges
+    checkpoint_dir(affected.sparkSession)
     affected = affected.checkpoint(eager=True)
 
     prev_fact = prev["fact_encounters"]
-    _, inserted = I.fact_incremental(prev_fact, src, out, affected, calendar, as_of)
-    # the re-inserted facts feed the fact and both bridges: computed once
-    inserted = inserted.checkpoint(eager=True)
-    # frozen before any block of the stored fact is replaced in place
-    old_keys = prev_fact.join(affected, "encounter_id", "left_semi").select("encounter_key").checkpoint(eager=True)
-    reloaded = old_keys.unionByName(inserted.select("encounter_key")).distinct().checkpoint(eager=True)
+    _, inserted = I.fact_incremental(prev_fact, src, out, affected, as_of)
+    old_keys = prev_fact.join(affected, "encounter_id", "left_semi").select("encounter_key")
+    reloaded = old_keys.unionByName(inserted.select("encounter_key")).distinct()
     dx = I.bridge_dx_rebuild(inserted, src["encounter_diagnoses"], out["dim_diagnosis"], affected)
-    px = I.bridge_px_rebuild(inserted, src["encounter_procedures"], out["dim_procedure"], affected, calendar)
+    px = I.bridge_px_rebuild(inserted, src["encounter_procedures"], out["dim_procedure"], affected)
     changes_by_table = {
         "fact_encounters": (old_keys, inserted),
         "bridge_encounter_diagnoses": (reloaded, dx),
@@ -169,18 +178,17 @@ def incremental_run(
         prev = wh.tables(STAR_TABLES, prev_id)
 
         def block_writer(name: str, removed: DataFrame, added: DataFrame) -> DataFrame:
-            # the blocks touched: a bounded list (one entry per key block)
-            touched = removed.select("encounter_key").unionByName(added.select("encounter_key"))
-            blocks = [r[0] for r in touched.select(key_block(wh.block_rows)).distinct().collect()]
-            stored = wh.read(name, run_id, keep_block=True).where(F.col(BLOCK_COL).isin(blocks)).drop(BLOCK_COL)
-            return wh.rewrite_blocks(name, run_id, I.replace_rows(stored, removed, added), blocks)
+            keys = removed.select("encounter_key").unionByName(added.select("encounter_key"))
+            touched = keys.select(key_block(wh.block_rows).alias(BLOCK_COL)).distinct()
+            # a join on the partition column: only the touched blocks are read
+            stored = wh.read(name, prev_id, keep_block=True).join(touched, BLOCK_COL, "left_semi").drop(BLOCK_COL)
+            return wh.write_blocks(name, run_id, I.replace_rows(stored, removed, added), prev_id, touched)
 
         out, inserted = incremental_tables(
             prev, wh.control(), src, as_of, lookback_days, widen,
             sink=lambda name, df: wh.write(name, run_id, df),
             block_writer=block_writer,
         )
-        wh.write("dim_date", run_id, out["dim_date"])
         if summary:
             wh.write("monthly_summary", run_id, monthly_summary(out))
         return new_watermark, int(inserted.count())

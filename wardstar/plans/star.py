@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType
 
 from ..operators import bridges, dims, fact
 
@@ -26,8 +27,8 @@ class LazyStar(Mapping[str, DataFrame]):
     so a query touching three tables does not build all eleven."""
 
     def __init__(self, src: dict[str, DataFrame], as_of: str, calendar: tuple[str, str] | None = None,
-                 load_date: str | None = None):
-        self.src, self.as_of = src, as_of
+                 load_date: str | None = None, unknown_key: int | None = None):
+        self.src, self.as_of, self.unknown_key = src, as_of, unknown_key
         self.load_date = load_date or as_of
         self._calendar = calendar
         self._built: dict[str, DataFrame] = {}
@@ -58,18 +59,27 @@ class LazyStar(Mapping[str, DataFrame]):
         if name == "dim_procedure":
             return dims.dim_procedure(src["procedures"])
         if name == "fact_encounters":
-            return fact.fact_encounters(src, self, self.calendar, load_date=self.load_date)
+            # without a calendar given, the calendar covers every date of the sources
+            return fact.fact_encounters(src, self.known, self._calendar, load_date=self.load_date, unknown_key=self.unknown_key)
         if name == "bridge_encounter_diagnoses":
             return bridges.bridge_dx(src["encounter_diagnoses"], self["fact_encounters"], self["dim_diagnosis"])
         if name == "bridge_encounter_procedures":
             return bridges.bridge_px(
-                src["encounter_procedures"], self["fact_encounters"], self["dim_procedure"], self.calendar
+                src["encounter_procedures"], self["fact_encounters"], self["dim_procedure"], self._calendar
             )
         raise KeyError(name)
 
+    @property
+    def known(self) -> "LazyStar":
+        """The star without unknown members, which no source row refers to."""
+        return self if self.unknown_key is None else LazyStar(self.src, self.as_of, self._calendar, self.load_date)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = self._build(name)
+            df = self._build(name)
+            if self.unknown_key is not None and name.startswith("dim_"):
+                df = with_unknown_member(df, self.unknown_key)
+            self._built[name] = df
         return self._built[name]
 
     def materialize(self, name: str, df: DataFrame) -> None:
@@ -84,13 +94,35 @@ class LazyStar(Mapping[str, DataFrame]):
         return len(STAR_TABLES)
 
 
+def with_unknown_member(dim: DataFrame, unknown_key: int) -> DataFrame:
+    """The dimension with a row for what could not be resolved: its key is
+    ``unknown_key``, its texts are 'Unknown', booleans false, all else NULL."""
+    key = dim.columns[0]
+
+    def value(f) -> Column:
+        if f.name == key:
+            v = F.lit(unknown_key)
+        elif isinstance(f.dataType, StringType):
+            v = F.lit("Unknown")
+        elif isinstance(f.dataType, BooleanType):
+            v = F.lit(False)
+        else:
+            v = F.lit(None)
+        return v.cast(f.dataType).alias(f.name)
+
+    row = dim.sparkSession.range(1).select(*[value(f) for f in dim.schema.fields])
+    return dim.unionByName(row)
+
+
 def build_star(
     src: dict[str, DataFrame],
     as_of: str,
     calendar: tuple[str, str] | None = None,
     load_date: str | None = None,
+    unknown_key: int | None = None,
 ) -> LazyStar:
-    return LazyStar(src, as_of, calendar, load_date)
+    """``unknown_key`` (e.g. -1) keeps facts with unresolved references and gives every dimension an unknown member."""
+    return LazyStar(src, as_of, calendar, load_date, unknown_key)
 
 
 def natural_fact(star: Mapping[str, DataFrame]) -> DataFrame:

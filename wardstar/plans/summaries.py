@@ -25,15 +25,15 @@ def monthly_summary(star: Mapping[str, DataFrame]) -> DataFrame:
         F.sum("diagnosis_count").alias("diagnoses"),
         F.sum("procedure_count").alias("procedures"),
         F.sum("encounter_duration_hours").alias("duration_hours"),
-        F.sum("total_allowed").cast("double").alias("total_allowed"),
-        F.sum("claim_amount").cast("double").alias("claim_amount"),
+        F.sum("total_allowed").alias("total_allowed"),
+        F.sum("claim_amount").alias("claim_amount"),
     )
 
 
-def fact_billing(billing: DataFrame, star: Mapping[str, DataFrame], calendar: tuple[str, str]) -> DataFrame:
+def fact_billing(billing: DataFrame, star: Mapping[str, DataFrame], calendar: tuple[str, str] | None = None) -> DataFrame:
     """One row per bill with the encounter's keys (bills of encounters
     that have a fact row); the claim date is keyed against the calendar."""
-    start, end = calendar
+    start, end = calendar or (None, None)
     keys = star["fact_encounters"].select(
         "encounter_id", "encounter_key", "patient_key", "provider_key", "specialty_key"
     )

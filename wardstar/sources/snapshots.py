@@ -1,13 +1,15 @@
 """Warehouse storage: Parquet directories per table plus an append-only
 ``etl_control`` table that is the commit log.
 
-Dimensions are written per run under ``<root>/<table>/run=<id>/`` and are
-read through the latest SUCCESS control row, so a failed or half-written
-run is never visible for them.  The encounter-grain tables (fact and
-bridges) are written by a full refresh, partitioned in key blocks, and
-then updated in place block by block by incremental runs (see
-``Warehouse``).  The control row is appended last.  ``root`` must be a
-shared folder (e.g. under ``spark.checkpoint.dir``).
+Every run writes only below ``<root>/<table>/run=<id>/``; nothing that an
+earlier run wrote is ever changed.  Dimensions are whole tables per run.  The
+encounter-grain tables (fact and bridges) are cut into blocks of encounter
+keys: a full refresh writes all blocks, an incremental run the blocks it
+touches, and the run's ``block_manifest`` says for each block which run's copy
+is current.  The control row is appended last and makes a run visible; readers
+go through the latest SUCCESS row and its manifest, so what a failed run left
+behind is never read.  ``root`` must be a shared folder (e.g. under
+``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
@@ -24,16 +26,17 @@ CONTROL_SCHEMA = T.StructType(
         T.StructField("load_type", T.StringType(), True),
         T.StructField("last_watermark", T.TimestampNTZType(), True),
         T.StructField("load_date", T.TimestampNTZType(), True),
-        T.StructField("records_processed", T.IntegerType(), True),
+        T.StructField("records_processed", T.LongType(), True),
         T.StructField("status", T.StringType(), True),
         T.StructField("error_message", T.StringType(), True),
     ]
 )
 
 
-# Encounter-grain tables are stored partitioned by a block of encounter keys:
-# partitions have a bounded size whatever the key distribution, and an
-# incremental run rewrites only the blocks its encounters live in.
+MANIFEST_SCHEMA = T.StructType([T.StructField("key_block", T.LongType()), T.StructField("run", T.LongType())])
+
+# Blocks have a bounded size whatever the key distribution, and an incremental
+# run rewrites only the blocks its encounters live in.
 BLOCKED = ("fact_encounters", "bridge_encounter_diagnoses", "bridge_encounter_procedures")
 BLOCK_ROWS = 1 << 20
 BLOCK_COL = "key_block"
@@ -45,19 +48,10 @@ def key_block(block_rows: int = BLOCK_ROWS, key: str = "encounter_key"):
 
 class Warehouse:
     """``create=True`` initialises a new warehouse (an empty control table);
-    opening an existing one reads its control table.
-
-    Dimensions are written per run (snapshot, read back by the latest SUCCESS
-    control row).  Fact and bridges are written once per full refresh,
-    partitioned by ``key_block``; incremental runs replace only the blocks
-    they touch, in place (dynamic partition overwrite).  Their current
-    contents are therefore those of the latest run, which is re-run safely:
-    the incremental load is idempotent and the watermark only advances with
-    a SUCCESS row."""
+    opening an existing one reads its control table."""
 
     def __init__(self, spark: SparkSession, root: str, create: bool = False, block_rows: int = BLOCK_ROWS):
         self.spark, self.root, self.block_rows = spark, root.rstrip("/"), block_rows
-        self._base: dict[int, int] = {}
         if create:
             spark.createDataFrame([], CONTROL_SCHEMA).coalesce(1).write.mode("errorifexists").parquet(
                 f"{self.root}/etl_control"
@@ -79,64 +73,50 @@ class Warehouse:
         m = c.where(F.col("status") == "SUCCESS").agg(F.max("control_id").alias("m")).first()["m"]
         return None if m is None else int(m)
 
-    def base_run(self, run_id: int) -> int:
-        """The full refresh whose blocked tables run ``run_id`` reads (fixed
-        once that full refresh succeeded, so it is looked up once)."""
-        if run_id in self._base:
-            return self._base[run_id]
-        c = self.control()
-        m = (
-            c.where((F.col("load_type") == "FULL") & (F.col("status") == "SUCCESS") & (F.col("control_id") <= run_id))
-            .agg(F.max("control_id").alias("m"))
-            .first()["m"]
-        )
-        if m is None:
-            raise RuntimeError(f"no successful full refresh at or before run {run_id}")
-        self._base[run_id] = int(m)
-        return int(m)
-
     def write(self, table: str, run_id: int, df: DataFrame) -> DataFrame:
-        """Write ``df`` as ``table`` of ``run_id`` and return it read back.
-
-        A run's directories are only read once its control row exists, so a
-        retry of a run whose driver died mid-way overwrites its leftovers."""
+        """Write ``df`` as the whole of ``table`` in ``run_id`` and return it read back."""
         if table in BLOCKED:
-            df.withColumn(BLOCK_COL, key_block(self.block_rows)).write.partitionBy(BLOCK_COL).mode(
-                "overwrite"
-            ).parquet(self.path(table, run_id))
-        else:
-            df.write.mode("overwrite").parquet(self.path(table, run_id))
-        return self._read_path(table, self.path(table, run_id))
-
-    def _read_path(self, table: str, path: str, keep_block: bool = False) -> DataFrame:
-        df = self.spark.read.parquet(path)
-        return df if keep_block or BLOCK_COL not in df.columns else df.drop(BLOCK_COL)
-
-    def read(self, table: str, run_id: int, keep_block: bool = False) -> DataFrame:
-        run = self.base_run(run_id) if table in BLOCKED else run_id
-        return self._read_path(table, self.path(table, run), keep_block)
-
-    def rewrite_blocks(self, table: str, run_id: int, rows: DataFrame, blocks: list[int]) -> DataFrame:
-        """Replace blocks ``blocks`` of a blocked table by ``rows`` (which hold
-        exactly the new contents of those blocks).  ``rows`` is checkpointed
-        first: it is derived from the partitions it overwrites."""
-        from ..session import checkpoint_dir
-
-        checkpoint_dir(self.spark)
-        path = self.path(table, self.base_run(run_id))
-        frozen = rows.withColumn(BLOCK_COL, key_block(self.block_rows)).checkpoint(eager=True)
-        frozen.write.partitionBy(BLOCK_COL).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-        written = {r[0] for r in frozen.select(BLOCK_COL).distinct().collect()}
-        emptied = [b for b in blocks if b not in written]
-        if emptied:
-            # a block whose rows were all deleted: dynamic overwrite cannot
-            # express an empty partition, so its directory is removed
-            jvm = self.spark.sparkContext._jvm
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            for b in emptied:
-                p = jvm.org.apache.hadoop.fs.Path(f"{path}/{BLOCK_COL}={b}")
-                p.getFileSystem(conf).delete(p, True)
-        return self._read_path(table, path)
+            return self.write_blocks(table, run_id, df)
+        df.write.mode("overwrite").parquet(self.path(table, run_id))
+        return self.read(table, run_id)
+
+    def write_blocks(
+        self, table: str, run_id: int, rows: DataFrame, base_run: int | None = None, touched: DataFrame | None = None
+    ) -> DataFrame:
+        """Write blocks of a blocked table and its manifest for ``run_id``.
+
+        Without ``base_run`` the rows are all there is.  With it, ``rows`` are
+        the new contents of the ``touched`` blocks (a block without rows is
+        gone) and every other block stays with the run that wrote it.  Rows
+        are dealt by ranges of the key, so a task writes few blocks whatever
+        partitioning they come with."""
+        path = self.path(table, run_id)
+        blocked = rows.withColumn(BLOCK_COL, key_block(self.block_rows))
+        blocked.repartitionByRange(BLOCK_COL, "encounter_key").write.partitionBy(BLOCK_COL).mode("overwrite").parquet(path)
+        # the schema is given: a run may have emptied all its blocks
+        written = self.spark.read.schema(blocked.schema).parquet(path).select(BLOCK_COL).distinct()
+        manifest = written.select(BLOCK_COL, F.lit(run_id).cast("long").alias("run"))
+        if base_run is not None:
+            kept = self._manifest(table, base_run).join(touched, BLOCK_COL, "left_anti")
+            manifest = kept.select(BLOCK_COL, "run").unionByName(manifest)
+        manifest.coalesce(1).write.mode("overwrite").parquet(self.path(f"block_manifest/{table}", run_id))
+        return self.read(table, run_id, schema=rows.schema)
+
+    def _manifest(self, table: str, run_id: int) -> DataFrame:
+        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.path(f"block_manifest/{table}", run_id))
+
+    def read(self, table: str, run_id: int, keep_block: bool = False, schema: T.StructType | None = None) -> DataFrame:
+        """``table`` as of ``run_id``; blocked tables through the run's manifest (a join on the partition
+        columns, which prunes the files of other copies)."""
+        if table not in BLOCKED:
+            return self.spark.read.parquet(self.path(table, run_id))
+        reader = self.spark.read
+        if schema is not None:
+            reader = reader.schema(T.StructType([*schema.fields, T.StructField("run", T.LongType()), T.StructField(BLOCK_COL, T.LongType())]))
+        rows = reader.parquet(f"{self.root}/{table}")
+        rows = rows.withColumns({"run": F.col("run").cast("long"), BLOCK_COL: F.col(BLOCK_COL).cast("long")})
+        rows = rows.join(self._manifest(table, run_id), ["run", BLOCK_COL], "left_semi").drop("run")
+        return rows if keep_block else rows.drop(BLOCK_COL)
 
     def tables(self, names: tuple[str, ...], run_id: int | None = None) -> dict[str, DataFrame]:
         run_id = self.latest_success() if run_id is None else run_id
