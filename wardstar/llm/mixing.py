@@ -37,8 +37,16 @@ def _hex(value: Column, digits: int) -> Column:
     return F.conv(F.substring(F.md5(value.cast("binary")), 1, digits), 16, 10).cast("long")
 
 
-def source_targets(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3) -> DataFrame:
-    """One row per source of ``docs(source, size)``: source, source_size, target.
+_NULL = "n"
+
+
+def _key(source: Column) -> Column:
+    """A text that is never null, a different one for each source and for null."""
+    return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit(_NULL))
+
+
+def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3) -> DataFrame:
+    """``sizes(source, source_size)``, one row per source, with the target of each.
 
     Weights repeat over the sources in code-point order, null last.  The
     targets share the sum of all sizes by weight; a target stops at ``cap``
@@ -55,7 +63,7 @@ def source_targets(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: i
     onwards = by_limit.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("_n") % len(weights) + 1).cast("int"))
     return (
-        docs.groupBy("source").agg(F.sum("size").alias("source_size"))
+        sizes.select("source", "source_size")
         .withColumn("_n", F.row_number().over(by_name) - 1)
         .withColumn("_w", weight.cast("long"))
         .withColumn("_cap", F.col("source_size") * cap)
@@ -74,29 +82,25 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, see
     rows = docs.select([F.col(f"`{c}`").alias(a) for c, a in names.items()]).select(
         *names.values(),
         F.col(names["source"]).alias("source"),
+        _key(F.col(names["source"])).alias("_key"),
         word_count(F.col(names["text"])).alias("size"),
         F.coalesce(_hex(F.col(names["doc_id"]).cast("string"), 3), F.lit(0)).alias("_bucket"),
     )
-    targets = source_targets(rows.select("source", "size"), weights, cap)
-
-    cells = rows.groupBy("source", "size", "_bucket").agg(F.count("*").alias("_c"))
-    sizes = cells.groupBy("source", "size").agg(F.sum("_c").alias("_c"))
-    larger = Window.partitionBy("source").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("source", "size", F.coalesce(F.sum("_c").over(larger), F.lit(0)).alias("_larger"))
-    sooner = Window.partitionBy("source", "size").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select("source", "size", "_bucket", F.coalesce(F.sum("_c").over(sooner), F.lit(0)).alias("_sooner"))
-
-    def joined(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        """Equi-join in which a null source meets the null source."""
-        right = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
-        both = left.join(right, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
-        return both.drop(*[f"_r_{c}" for c in on])
-
-    starts = joined(joined(cells, sizes, ["source", "size"]), targets, ["source"])
-    inside = Window.partitionBy("source", "size", "_bucket").orderBy(
-        F.col(names["doc_id"]).asc_nulls_first(), F.xxhash64(names["text"])
-    )
-    ranked = joined(rows.withColumn("_i", F.row_number().over(inside)), starts, ["source", "size", "_bucket"])
+    cell = ["_key", "size", "_bucket"]
+    cells = rows.groupBy(*cell).agg(F.count("*").alias("_c"))
+    sizes = cells.groupBy("_key", "size").agg(F.sum("_c").alias("_c"))
+    source = F.when(F.col("_key") != _NULL, F.substr(F.col("_key"), F.lit(2))).alias("source")
+    of_source = sizes.groupBy("_key").agg(F.sum(F.col("size") * F.col("_c")).alias("source_size"))
+    targets = source_targets(of_source.select(source, "source_size"), weights, cap).withColumn("_key", _key(F.col("source")))
+
+    larger = Window.partitionBy("_key").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_key", "size", F.coalesce(F.sum("_c").over(larger), F.lit(0)).alias("_larger"))
+    sooner = Window.partitionBy("_key", "size").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select(*cell, F.coalesce(F.sum("_c").over(sooner), F.lit(0)).alias("_sooner"))
+    starts = cells.join(sizes, ["_key", "size"]).join(targets.drop("source"), "_key")
+
+    inside = Window.partitionBy(*cell).orderBy(F.col(names["doc_id"]).asc_nulls_first(), F.xxhash64(names["text"]))
+    ranked = rows.withColumn("_i", F.row_number().over(inside)).join(starts, cell)  # one dealing out serves both
     rank = F.col("_larger") + F.col("_sooner") + F.col("_i")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = _hex(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("source"), F.lit(""))), 5) / F.lit(float(_STEPS))
