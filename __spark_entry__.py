@@ -257,7 +257,7 @@ def _incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return natural_fact(_full_then_incremental(spark, sf_dir).tables(STAR_TABLES))
 
 
-def _full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _refreshed(spark: SparkSession, sf_dir: str):
     import datetime as dt
 
     from wardstar.plans.etl import full_refresh
@@ -265,7 +265,27 @@ def _full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     wh = _warehouse(spark)
     full_refresh(_src(spark, sf_dir), wh, AS_OF, dt.datetime.fromisoformat(PRIOR_WATERMARK))
-    return wh.tables(("fact_encounters",))["fact_encounters"]
+    return wh
+
+
+def _full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir).tables(("fact_encounters",))["fact_encounters"]
+
+
+def _full_refresh_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every published table: its rows and the sum of its key column."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from wardstar.plans.star import STAR_TABLES
+
+    tables = _refreshed(spark, sf_dir).tables(STAR_TABLES)
+    return reduce(DataFrame.unionAll, [
+        df.agg(F.count("*").alias("row_count"), F.sum(df.columns[0]).alias("key_sum"))
+        .select(F.lit(name).alias("table_name"), "row_count", "key_sum")
+        for name, df in tables.items()
+    ])
 
 
 # ---------------------------------------------------------------- quality and extras
@@ -406,6 +426,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["bridge_px_incremental"] = _bridge_px_incremental
     q["watermark_read"] = _watermark_read
     q["full_refresh"] = _full_refresh
+    q["full_refresh_tables"] = _full_refresh_tables
     q["incremental_run"] = _incremental_run
     q["etl_control"] = _etl_control
     q["dq_unique"] = _dq("unique")

@@ -64,3 +64,16 @@ def test_dense_keys_after_a_maximum_and_of_no_rows(spark):
     keys = sorted(r["k"] for r in dense_keys(df, ["id"], "k", start_after=lambda: 5).collect())
     assert keys == list(range(6, 3006))
     assert dense_keys(df.limit(0), ["id"], "k").collect() == []
+
+
+def test_source_schemas_are_checked(spark, src_small):
+    import pytest
+
+    from wardstar.sources.schemas import check_sources
+
+    check_sources(src_small)
+    bad = {k: v for k, v in src_small.items() if k != "billing"}
+    bad["patients"] = bad["patients"].drop("mrn").withColumn("patient_id", F.col("patient_id").cast("string"))
+    with pytest.raises(ValueError, match="billing: no such table") as e:
+        check_sources(bad)
+    assert "patients.mrn: no such column" in str(e.value) and "patients.patient_id: string" in str(e.value)

@@ -46,7 +46,7 @@ def test_fixture_constants(spark, src_small):
     inp = s["encounters"].where("encounter_type = 'Inpatient'")
     assert inp.count() == 493
     q3 = E.queries()["q2_dx_px_pairs_oltp"](spark, SF_SMALL).first()
-    assert (q3.icd10_code, q3.cpt_code, q3.encounter_count) == ("D00", "C0009", 27)
+    assert (q3.icd10_code, q3.cpt_code, q3.encounter_count) == ("D34", "C0024", 11)
     aff = E.queries()["affected_set"](spark, SF_SMALL).count()
-    assert aff == 257
+    assert aff == 260
     assert s["encounters"].where(F.col("discharge_date").isNull()).count() == 3

@@ -23,6 +23,8 @@ SOURCE_UNIQUE = (
     ("encounters", ("encounter_id",)),
     ("diagnoses", ("diagnosis_id",)),
     ("procedures", ("procedure_id",)),
+    ("encounter_diagnoses", ("encounter_diagnosis_id",)),
+    ("encounter_procedures", ("encounter_procedure_id",)),
     ("billing", ("billing_id",)),
 )
 STAR_UNIQUE = (

@@ -24,6 +24,7 @@ from ..operators.dims import PATIENT_ATTRS
 from ..functions.dates import age_group, lit_ts
 from ..session import checkpoint_dir
 from ..sources.snapshots import BLOCK_COL, Warehouse, key_block
+from ..sources.schemas import check_sources
 from .star import STAR_TABLES, build_star
 from .summaries import monthly_summary
 
@@ -58,6 +59,7 @@ def full_refresh(
     ``summary`` also materialises the monthly summary (X7)."""
 
     def body(run_id: int):
+        check_sources(src)
         star = build_star(dict(src), as_of, calendar)
         for name in STAR_TABLES:
             star.materialize(name, wh.write(name, run_id, star[name]))
@@ -172,6 +174,7 @@ def incremental_run(
     """Dims → fact → bridges → control row, over the latest good run."""
 
     def body(run_id: int):
+        check_sources(src)
         prev_id = wh.latest_success()
         if prev_id is None:
             raise RuntimeError("incremental run needs a previous successful load")
