@@ -79,14 +79,14 @@ def test_held_out_accuracy(spark):
 
 def test_edges(spark):
     schema = "doc_id long, text string, lang string, score string"
-    rows = [(1, None, "en", None), (2, "", "en", None), (3, "12 34 !!", None, None), (None, "the house of the rising sun", None, None),
+    rows = [(1, None, "en", None), (2, "", "en", None), (3, "12 34 !!", None, None), (7, "½ ²", None, None), (None, "the house of the rising sun", None, None),
             (4, "the house of the rising sun", "en", "x"), (5, "das haus der kinder", "de", None), (5, "das haus der kinder", "de", None),
             (6, "das haus " * 50000, "de", None)]
     docs = spark.createDataFrame(rows, schema)
     names, model = L.train(docs)
     assert names == ["de", "en"]
     out = {(r.doc_id, r.text[:9] if r.text else r.text): r for r in L.identify(docs, names, model).collect()}
-    assert all(out[k].lang_pred == "und" and out[k].score == 0 for k in ((1, None), (2, ""), (3, "12 34 !!")))
+    assert all(out[k].lang_pred == "und" and out[k].score == 0 for k in ((1, None), (2, ""), (3, "12 34 !!"), (7, "½ ²")))
     assert out[(None, "the house")].lang_pred == "en" and out[(6, "das haus ")].lang_pred == "de"
     nothing = L.train(docs.where("lang is null"))
     assert nothing == ([], None) and {r.lang_pred for r in L.identify(docs, *nothing).collect()} == {"und"}

@@ -171,7 +171,8 @@ class Labeller:
 
         words = 0
         for row, text in enumerate(texts):
-            if lines := sentences(text):
+            lines = sentences(text)
+            if any(c.isalpha() for line in lines for w in line for c in w):  # the first, as a rule
                 held.append((row, lines))
                 words += sum(map(len, lines))
                 if words >= _WORDS:
