@@ -27,12 +27,11 @@ are documents of their own; no rows give no rows.
 
 from __future__ import annotations
 
-import itertools
 import math
-import re
+import struct
+import unicodedata
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +42,7 @@ WINDOW = 2048
 END_ID = 1
 GROUP = 1 << 12  # rests packed together
 _CACHE = 1 << 19  # words whose ids a task keeps
-_SPACE = re.compile(r"[ \t\n\r]+")
-_TAIL = ".,;:!?*#$%&|)"
+_TAIL = b".,;:!?*#$%&|)"
 
 
 def vocabulary_path() -> str:
@@ -53,83 +51,64 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder:
-    """Ids of texts, word by word through bounded caches.
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class Encoder(dict):
+    """Ids (little-endian) of words, filled in as they come up to a bound; also encodes texts.
 
     The tokenizer never joins across white space, nor a run of letters with the
-    signs after it, so a word is its letters and its tail.  Letters that are
-    not cached are encoded many at once and cut apart where a word-end token
-    stands; whatever does not come apart that way is encoded by itself.
+    signs after it, so a word is its letters and its tail.  A run of letters
+    that the normaliser would leave alone goes to the vocabulary's model
+    directly; everything else through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__({b"": b""})
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.tokenizer.model._resize_cache(0)  # words come here once
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def _alone(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
-        out: dict[str, bytes] = {}
-        together = [p for p in parts if p.isalpha()]
-        for at in range(0, len(together), 2048):
-            some = together[at : at + 2048]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cuts) == len(some):
-                raw, begin = ids.tobytes(), 0
-                for part, cut in zip(some, cuts):
-                    out[part] = raw[4 * begin : 4 * cut]
-                    begin = cut
-        for part in parts:
-            if part not in out:
-                out[part] = self._alone(part)
-        return out
-
-    def _encode_words(self, words: set[str]) -> dict[str, bytes]:
-        parts, plan = self.parts, []
-        for word in words:
-            core = word.rstrip(_TAIL)
-            if core.isalpha():
-                plan.append((word, core.lower() if core.isascii() else core, word[len(core) :]))
-            else:
-                plan.append((word, word, ""))
-        new = {p for _, p, _ in plan}
-        new.update([t for _, _, t in plan])
-        more = self._encode_parts(list(new.difference(parts)))
-        parts.update(more)
-        out = {word: parts[letters] + parts[tail] for word, letters, tail in plan}
-        _trim(parts, more)
-        return out
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
-        split = [[w for w in _SPACE.split(t) if w] if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        different: set[str] = set()
-        for words in split:
-            different.update(words)
-        known = self.words
-        new = self._encode_words(different.difference(known))
-        known.update(new)
-        out = [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
-        _trim(known, new)
-        return out
-
-
-def _trim(cache: dict, new: dict) -> None:
-    """Back to the bound: the first words to come stay, which are the frequent ones."""
-    over = len(cache) - _CACHE
-    if over > 0:
-        for key in list(itertools.islice(reversed(new), over)):
-            del cache[key]
+        self.model = self.tokenizer.model
+        self.model._resize_cache(0)  # words come here once
+        self.letters = _byte_letters()
+
+    def __missing__(self, word: bytes) -> bytes:
+        core = word.rstrip(_TAIL)
+        if core.isalpha():  # ASCII letters
+            lower = core.lower()
+            ids = (self.get(lower) if lower != word else None) or self._of_letters(lower.decode("ascii"))
+        else:
+            text = core.decode("utf-8", "replace")
+            if not text.isalpha() or text != text.lower() or not unicodedata.is_normalized("NFC", text):
+                return self._kept(word, self._whole(word))
+            ids = self._of_letters(core.decode("latin-1").translate(self.letters))
+        if len(core) < len(word):
+            tail = word[len(core) :]
+            ids += self.get(tail) or self._kept(tail, self._whole(tail))
+        return self._kept(word, ids)
+
+    def _kept(self, word: bytes, ids: bytes) -> bytes:
+        """The first words to come stay, which are the frequent ones."""
+        if len(self) < _CACHE:
+            self[word] = ids
+        return ids
+
+    def _of_letters(self, letters: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _whole(self, word: bytes) -> bytes:
+        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, text: bytes) -> bytes:
+        """Ids of a text; white space beyond ASCII stays inside words, where the tokenizer sees it."""
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -226,25 +205,25 @@ def encoded_pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
-        end = np.array([end_id], np.uint32)
+        end, step = struct.pack("<I", end_id), 4 * window
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                texts = [x or "" for x in part.column("text").to_pylist()]
                 rows, tokens, starts, ids = [], [], [], []
-                for row, found in enumerate(encoder.encode(texts)):
-                    found = np.concatenate([found, end]).astype("<u4")
-                    for start in range(0, len(found), window):
+                for row, text in enumerate(part.column("text").to_pylist()):
+                    found = encoder.encode(text or b"") + end
+                    for start in range(0, len(found), step):
                         rows.append(row)
-                        tokens.append(len(found))
-                        starts.append(start)
-                        ids.append(found[start : start + window].tobytes())
+                        tokens.append(len(found) // 4)
+                        starts.append(start // 4)
+                        ids.append(found[start : start + step])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").take(pa.array(rows, pa.int32())), pa.array(tokens, pa.int64()), pa.array(starts, pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "doc_tokens", "start", "ids"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, doc_tokens long, start long, ids binary")
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(run, f"doc_id {kind}, doc_tokens long, start long, ids binary")
 
 
 def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, group: int = GROUP) -> DataFrame:
