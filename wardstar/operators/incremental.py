@@ -148,10 +148,10 @@ def widen_for_readmission(
     probes = (
         e.join(cands.select("patient_id").distinct(), "patient_id", "left_semi")
         .select("encounter_id", "patient_id", "discharge_date", "encounter_date")
-        # not a candidate itself: no self-exclusion for the probe
+        # not a candidate itself
         .withColumn("encounter_type", F.lit(None).cast("string"))
     )
-    hits = readmission_flag(cands, probes=probes, days=days, flag_col="_ws_hit").where("_ws_hit")
+    hits = readmission_flag(cands, probes=probes, days=days, flag_col="_ws_hit", own_hits=False).where("_ws_hit")
     return affected.unionByName(hits.select("encounter_id")).distinct()
 
 

@@ -126,6 +126,7 @@ def readmission_flag(
     readmit_type: str = READMISSION_TYPE,
     match_cols: Sequence[str] = ("patient_id",),
     flag_col: str = "is_readmission",
+    own_hits: bool = True,
 ) -> DataFrame:
     """Append ``flag_col`` to ``probes`` (default: every encounter).
 
@@ -139,6 +140,7 @@ def readmission_flag(
     is if it was discharged no later than admitted.  All other stays need the
     two extreme times of a bucket and nothing else; the odd ones take the
     exact path, over the candidates of their patients only.
+    ``own_hits=False``: no probe is among the candidates.
     """
     keys = list(match_cols)
     probes = encounters if probes is None else probes
@@ -147,12 +149,15 @@ def readmission_flag(
     odd = F.coalesce((F.col("encounter_type") == readmit_type) & t.between(d, end), F.lit(False))
     p = probes.withColumn("k", _bucket(d, days))
 
-    plain = p.where(~odd).join(bucket_extremes(encounters, keys, days, readmit_type), [*keys, "k"], "left")
+    plain = (p.where(~odd) if own_hits else p).join(bucket_extremes(encounters, keys, days, readmit_type), [*keys, "k"], "left")
     plain = plain.withColumn(flag_col, F.coalesce((F.col("m1") >= d) | (F.col("n1") <= end), F.lit(False)))
 
+    plain = plain.drop("k", "m1", "n1")
+    if not own_hits:
+        return plain
     theirs = encounters.join(probes.where(odd).select(*keys).distinct(), keys, "left_semi")
     exact = p.where(odd).join(bucket_summaries(theirs, keys, days, readmit_type), [*keys, "k"], "left")
     tail_hit = ((F.col("m1") >= d) & ((F.col("m1") != t) | (F.col("cm1") >= 2))) | (F.col("m2") >= d)
     head_hit = ((F.col("n1") <= end) & ((F.col("n1") != t) | (F.col("cn1") >= 2))) | (F.col("n2") <= end)
     exact = exact.withColumn(flag_col, F.coalesce(tail_hit, F.lit(False)) | F.coalesce(head_hit, F.lit(False)))
-    return plain.drop("k", "m1", "n1").unionByName(exact.drop("k", "m1", "cm1", "m2", "n1", "cn1", "n2"))
+    return plain.unionByName(exact.drop("k", "m1", "cm1", "m2", "n1", "cn1", "n2"))

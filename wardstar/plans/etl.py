@@ -136,11 +136,12 @@ def incremental_tables(
         prev["dim_patient"], changed("patients"), "patient_id", "patient_key", PATIENT_ATTRS, as_of,
         derived={"age_group": lambda day: age_group(F.col("date_of_birth"), day)}, null_safe=null_safe))
 
+    checkpoint_dir(src["encounters"].sparkSession)
     affected = I.affected_set(src, cutoff).unionByName(I.late_dimension_dependents(src, prev, out)).distinct()
     if widen:
+        affected = affected.checkpoint(eager=True)  # read several times below
         affected = I.widen_for_readmission(affected, src, prev["fact_encounters"], out)
     # one frozen encounter set for delete, re-insert and both bridges
-    checkpoint_dir(affected.sparkSession)
     affected = affected.checkpoint(eager=True)
 
     prev_fact = prev["fact_encounters"]
