@@ -115,7 +115,7 @@ def test_incremental_writes_only_touched_blocks(spark, src_small):
     full_refresh(prior_sources(src_small), wh, PRIOR_AS_OF, dt.datetime.fromisoformat(PRIOR_WATERMARK))
     first = _files(wh, "fact_encounters", 1)
     blocks = wh._manifest("fact_encounters", 1).count()
-    assert len(first) <= blocks + int(spark.conf.get("spark.sql.shuffle.partitions"))  # whatever the tasks
+    assert len(first) <= 4 * blocks  # whatever the tasks
     incremental_run(src_small, wh, AS_OF, NEW_WM)
     assert sorted(_files(wh, "fact_encounters", 1)) == sorted(first)
     from_run = {r.run: r["count"] for r in wh._manifest("fact_encounters", 2).groupBy("run").count().collect()}

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, hours_between, lit_date
 from ..functions.keys import dense_keys
+from ..session import checkpoint_dir
 from .readmission import readmission_flag
 
 FACT_COLUMNS = (
@@ -128,4 +129,7 @@ def fact_encounters(
     """Full-load fact, one row per resolvable encounter, keyed densely
     by ``encounter_id``."""
     rows = fact_rows(src["encounters"], src, dims, calendar, load_date, unknown_key=unknown_key)
+    # numbering reads its input twice (range bounds, then rows); the joins behind it run once
+    checkpoint_dir(rows.sparkSession)
+    rows = rows.checkpoint(eager=True)
     return dense_keys(rows, ["encounter_id"], "encounter_key").select(*FACT_COLUMNS)

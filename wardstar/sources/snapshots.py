@@ -40,6 +40,7 @@ MANIFEST_SCHEMA = T.StructType([T.StructField("key_block", T.LongType()), T.Stru
 BLOCKED = ("fact_encounters", "bridge_encounter_diagnoses", "bridge_encounter_procedures")
 BLOCK_ROWS = 1 << 20
 BLOCK_COL = "key_block"
+BLOCK_FILES = 4  # files of a block, at most
 
 
 def key_block(block_rows: int = BLOCK_ROWS, key: str = "encounter_key"):
@@ -88,11 +89,12 @@ class Warehouse:
         Without ``base_run`` the rows are all there is.  With it, ``rows`` are
         the new contents of the ``touched`` blocks (a block without rows is
         gone) and every other block stays with the run that wrote it.  Rows
-        are dealt by ranges of the key, so a task writes few blocks whatever
-        partitioning they come with."""
+        are dealt by block first, each to ``BLOCK_FILES`` tasks, so a block
+        has that many files at most whatever partitioning the rows come with."""
         path = self.path(table, run_id)
         blocked = rows.withColumn(BLOCK_COL, key_block(self.block_rows))
-        blocked.repartitionByRange(BLOCK_COL, "encounter_key").write.partitionBy(BLOCK_COL).mode("overwrite").parquet(path)
+        part = F.pmod(F.xxhash64("encounter_key"), F.lit(BLOCK_FILES))
+        blocked.repartition(BLOCK_COL, part).write.partitionBy(BLOCK_COL).mode("overwrite").parquet(path)
         # the schema is given: a run may have emptied all its blocks
         written = self.spark.read.schema(blocked.schema).parquet(path).select(BLOCK_COL).distinct()
         manifest = written.select(BLOCK_COL, F.lit(run_id).cast("long").alias("run"))
