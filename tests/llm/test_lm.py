@@ -107,5 +107,17 @@ def test_edges_and_bounds(spark, words, grams):
     assert all(r.train_tokens == 0 and r.n_known == 0 for r in untrained)
 
 
+@pytest.mark.parametrize("order,grams", [(5, 5), (5, 1 << 19), (3, 5), (1, 5)])
+def test_scores_take_all_grams_whatever_the_tasks_get(spark, order, grams):
+    rnd = random.Random(order)
+    rows = [(i, " ".join("".join(rnd.choice("abcd") for _ in range(rnd.randrange(1, 9))) for _ in range(rnd.randrange(30)))) for i in range(60)]
+    rows += [(60, "Another zone, never seen é"), (61, None), (0, "again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    by = plain_counts([normalised((t or "").encode()) for d, t in rows if d % 3], order)
+    want = sorted(plain_score(by, normalised((t or "").encode()), order) for _, t in rows)
+    got = sorted(r.score for r in lm.lm_scores(df, F.col("doc_id") % 3 == 0, order, grams).collect())
+    assert np.allclose(got, want, rtol=1e-5)
+
+
 def test_bound_on_grams():
     assert lm._least_power({0: 10, 1: 5, 3: 2}, 7) == 2 and lm._least_power({0: 10}, 10) == 1 and lm._least_power({2: 9}, 3) == 8

@@ -4,9 +4,14 @@ A text is taken as its words, lower-cased and joined by single spaces, and an
 end.  The model is a pretrained byte-context trie (``trie.py``): counts of all
 grams of ``order + 1`` bytes of all training texts, gathered in one pass that
 combines per task before it shuffles; shorter grams are sums of longer ones.
-What a task holds is bounded: of each gram length the tasks get the grams whose
-count reaches the least power of two that leaves at most ``GRAMS`` of them, so
-the trie deepens with the corpus and its size does not grow without end.
+What a task holds is bounded, the model is not: tasks get the probabilities, from
+full counts, of the longest grams whose count reaches the least power of two
+that leaves at most ``GRAMS`` of them.  Every other symbol of a document, new
+ones and their escapes included, is joined: different missing grams meet the
+written counts by the ``SHORT`` bytes before the symbol, where all longer
+contexts of a symbol stand together, and get their scores from the trie of
+those.  Grams of at most ``SHORT`` bytes, 2^24 whatever the corpus, go to every
+task of that step.
 
 Beside the trie the same pass counts words for a unigram baseline with add-one
 smoothing.  Its vocabulary grows with the corpus: at most ``WORDS`` of the most
@@ -27,18 +32,20 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import fold, staged, table
-from wardstar.llm.trie import Trie, normalised, packed, tagged
+from wardstar.llm.common import fold, grouped, staged, table
+from wardstar.llm.trie import Longest, Trie, normalised, packed, shortened
 
 ORDER = 5
-GRAMS = 1 << 19  # grams of one length that tasks get, at most
+GRAMS = 1 << 19  # longest grams that tasks get, at most
+SHORT = 3  # bytes of the grams that all tasks get when the others are joined
 WORDS = 1 << 18  # words that tasks get, at most
 _KEYS = 1 << 21  # keys counted at once
 _DISTINCT = 1 << 20  # keys kept with a count before they are sent on
 _VOCABULARY = 1 << 17  # different words counted at once
+_JOINED = 1 << 18  # longest grams that a joined trie is built of, or one context's
 _BYTES = 1 << 17  # bytes scored at once, which stay in a core's cache
 END_WORD = b"\n"
 _BUILT: dict[str, tuple] = {}  # the model of a Python worker
@@ -126,22 +133,50 @@ def _least_power(levels: dict[int, int], bound: int) -> int:
 _LEVEL = "length(bin(n)) - 1"
 
 
-def kept_grams(counts: DataFrame, order: int = ORDER, bound: int = GRAMS) -> tuple[np.ndarray, np.ndarray]:
-    """Tagged keys and counts of the grams that tasks get, shorter ones summed from the longest."""
-    lengths = F.explode(F.sequence(F.lit(1), F.lit(order + 1)))
-    grams = counts.where("gram is not null").select("gram", "n", lengths.alias("length"))
-    cut = F.expr("gram & (shiftleft(1L, 8 * length) - 1)")
-    grams = staged(grams.groupBy("length", cut.alias("gram")).agg(F.sum("n").alias("n")), "lm-grams")
-    levels: dict[int, dict[int, int]] = {}
-    for length, level, number in grams.groupBy("length", F.expr(_LEVEL)).count().collect():
-        levels.setdefault(length, {})[level] = number
-    least, kept = 1, F.lit(False)
-    for length in range(1, order + 2):  # never lower for a longer gram, so that what it contains is kept too
-        least = max(least, _least_power(levels.get(length, {}), bound))
-        kept = kept | ((F.col("length") == length) & (F.col("n") >= least))
-    rows = grams.where(kept).select("length", "gram", "n").toArrow()
-    keys = rows.column(1).to_numpy().astype(np.uint64) | (rows.column(0).to_numpy().astype(np.uint64) << np.uint64(56))
-    return keys, rows.column(2).to_numpy()
+def frequent_grams(longest: DataFrame, bound: int = GRAMS) -> tuple[np.ndarray, np.ndarray]:
+    """Packed keys and log10 probabilities of the grams that tasks get, of ``longest(gram, n)``."""
+    levels = dict(tuple(r) for r in longest.groupBy(F.expr(_LEVEL)).count().collect())
+    whole = F.sum("n").over(Window.partitionBy(F.shiftright("gram", 8)))
+    rows = longest.withColumn("whole", whole).where(F.col("n") >= _least_power(levels, bound))
+    rows = rows.select("gram", F.log10((2 * F.col("n") - 1) / (2 * F.col("whole"))).alias("log")).toArrow()
+    return rows.column(0).to_numpy().astype(np.uint64), rows.column(1).to_numpy()
+
+
+def joined_grams(asked: DataFrame, longest: DataFrame, order: int) -> DataFrame:
+    """gram, log: the log10 probability of every packed symbol of ``asked(gram)`` by all grams of ``longest(gram, n)``."""
+    length = min(SHORT, order + 1)
+    short = longest.groupBy(F.col("gram").bitwiseAND(F.lit((1 << 8 * length) - 1)).alias("gram")).agg(F.sum("n").alias("n")).toArrow()
+    of = short.column(0).to_numpy().astype(np.uint64), short.column(1).to_numpy()
+    shared = asked.sparkSession.sparkContext.broadcast([shortened(*of, n) for n in range(1, length + 1)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _BUILT.clear()  # a worker that scored before
+
+        def scored(held: list[pa.Table]) -> pa.RecordBatch:
+            rows = pa.concat_tables(held)
+            gram, n = rows.column("gram").to_numpy().astype(np.uint64), rows.column("n").to_numpy()
+            wanted = gram[n == 0]
+            gram, n = gram[n > 0], n[n > 0]
+            parts = shared.value + [shortened(gram, n, m) for m in range(length + 1, order + 2)]
+            trie = Trie(order, *(np.concatenate(x) for x in zip(*parts)))
+            return pa.RecordBatch.from_arrays([pa.array(wanted.view(np.int64)), pa.array(trie.score(wanted))], names=["gram", "log"])
+
+        held: list[pa.Table] = []
+        size = 0
+        for group in grouped(batches, ("context",)):
+            if pc.min(group.column("n")).as_py() == 0:
+                held.append(group)
+                size += group.num_rows
+            if size >= _JOINED:
+                yield scored(held)
+                held, size = [], 0
+        if held:
+            yield scored(held)
+
+    rows = longest.select("gram", "n").unionAll(asked.distinct().select("gram", F.lit(0).cast("long")))
+    context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * SHORT) - 1))
+    rows = rows.select(context.alias("context"), "gram", "n").repartition("context").sortWithinPartitions("context")
+    return rows.mapInArrow(run, "gram long, log double")
 
 
 def frequent_words(counts: DataFrame, bound: int = WORDS) -> dict[bytes, int]:
@@ -150,12 +185,12 @@ def frequent_words(counts: DataFrame, bound: int = WORDS) -> dict[bytes, int]:
     return dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))
 
 
-def _model(name: str, parts: Callable[[], tuple]) -> tuple[Trie, dict[bytes, float]]:
-    """The trie and the word table, built once in each Python worker."""
+def _model(name: str, parts: Callable[[], tuple]) -> tuple[Longest, dict[bytes, float]]:
+    """The gram and the word table, built once in each Python worker."""
     if name not in _BUILT:
         _BUILT.clear()
-        order, keys, counts, words = parts()
-        _BUILT[name] = Trie(order, keys, counts), words
+        order, grams, logs, words = parts()
+        _BUILT[name] = Longest(order, grams, logs), words
     return _BUILT[name]
 
 
@@ -168,6 +203,28 @@ def score_texts(trie: Trie, texts: list[bytes]) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0)
 
 
+_MISSING = pa.list_(pa.struct([("gram", pa.int64()), ("times", pa.int64())]))
+
+
+def known_scores(model: Longest, texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+    """log10 probability of the known symbols of each normalised text, and its missing ones with how often they come."""
+    out, missing = [np.zeros(0)], [pa.array([], _MISSING)]
+    for some in _slices(iter(texts), _BYTES):
+        keys, begins = packed(some, model.order)
+        logs, known = model.score(keys)
+        out.append(np.add.reduceat(logs, begins))
+        at = np.flatnonzero(~known)
+        text, gram = np.searchsorted(begins, at, "right") - 1, keys[at]
+        by = np.lexsort((gram, text))
+        text, gram = text[by], gram[by]
+        first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])])[: len(gram)])
+        times = np.diff(np.append(first, len(gram)))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(text[first], minlength=len(some)))]).astype(np.int32)
+        pairs = pa.StructArray.from_arrays([pa.array(gram[first].view(np.int64)), pa.array(times)], fields=list(_MISSING.value_type))
+        missing.append(pa.ListArray.from_arrays(pa.array(ends), pairs, type=_MISSING))
+    return np.concatenate(out), pa.concat_arrays(missing)
+
+
 def lm_scores(docs: DataFrame, held_out, order: int = ORDER, grams: int = GRAMS, words: int = WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs(doc_id, text)``."""
     spark: SparkSession = docs.sparkSession
@@ -176,14 +233,15 @@ def lm_scores(docs: DataFrame, held_out, order: int = ORDER, grams: int = GRAMS,
     of_words = counts.where("word is not null")
     total, kinds = of_words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     space = float(total + kinds + 1)
-    keys, numbers = kept_grams(counts, order, grams)
+    longest = counts.where("gram is not null").select("gram", "n")
+    keys, logs = frequent_grams(longest, grams)
     frequent = {w: math.log10((n + 1) / space) for w, n in frequent_words(counts, words).items()}
-    shared = spark.sparkContext.broadcast((order, keys, numbers, frequent))
+    shared = spark.sparkContext.broadcast((order, keys, logs, frequent))
     name = f"{spark.sparkContext.applicationId}-{shared._jbroadcast.id()}"
     kind = docs.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, table_ = _model(name, lambda: shared.value)
+        model, table_ = _model(name, lambda: shared.value)
         known = table_.get
         rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
@@ -197,31 +255,38 @@ def lm_scores(docs: DataFrame, held_out, order: int = ORDER, grams: int = GRAMS,
                 sizes.append(len(tokens))
                 found.append(len(tokens) - sum(missing.values()))
                 rare.append([{"word": w, "n": n} for w, n in missing.items()])
+            score, missing = known_scores(model, texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), batch.column("held_out"), pa.array(sizes, pa.int64()),
-                 pa.array(found, pa.int64()), pa.array(base, pa.float64()), pa.array(score_texts(trie, texts)), pa.array(rare, rare_type)],
-                names=["row", "doc_id", "held_out", "n_tokens", "found", "base", "score", "rare"],
+                 pa.array(found, pa.int64()), pa.array(base, pa.float64()), pa.array(score), pa.array(rare, rare_type), missing],
+                names=["row", "doc_id", "held_out", "n_tokens", "found", "base", "score", "rare", "missing"],
             )
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", held.alias("held_out"), F.col("text").cast("binary").alias("text")
     )
     schema = (f"row long, doc_id {kind.simpleString()}, held_out boolean, n_tokens long, found long, base double, score double, "
-              "rare array<struct<word:binary,n:long>>")
+              "rare array<struct<word:binary,n:long>>, missing array<struct<gram:long,times:long>>")
     scored = staged(rows.mapInArrow(run, schema), "lm-scored")
     shared.destroy()
 
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.n").alias("times"))
-    rare = rare.join(of_words.select("word", "n"), "word", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(space))).alias("more"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("also"),
+    rare = rare.join(of_words.select("word", "n"), "word", "left").select(
+        "row",
+        (F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(space))).alias("more"),
+        F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0).alias("also"),
+        F.lit(0.0).alias("gained"),
     )
-    return scored.join(rare, "row", "left").select(
+    missing = scored.select("row", F.explode("missing").alias("m")).select("row", "m.gram", "m.times")
+    missing = missing.join(joined_grams(missing.select("gram"), longest, order), "gram")
+    missing = missing.select("row", F.lit(0.0).alias("more"), F.lit(0).cast("long").alias("also"), (F.col("times") * F.col("log")).alias("gained"))
+    rest = rare.unionAll(missing).groupBy("row").agg(*(F.sum(c).alias(c) for c in ("more", "also", "gained")))
+    return scored.join(rest, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("found") + F.coalesce("also", F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("gained", F.lit(0.0))).alias("score"),
     )
 
 

@@ -51,8 +51,83 @@ def packed(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return keys[inside], np.concatenate([[0], np.cumsum(lengths)[:-1]])
 
 
-class Trie:
-    """Scores packed keys; built from the kept grams (longer grams' counts are included in shorter ones)."""
+def shortened(grams: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tagged keys and counts of the grams of the last ``length`` bytes of longer ones."""
+    if not len(grams):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    cut = grams & np.uint64((1 << 8 * length) - 1)
+    by = np.argsort(cut)
+    cut, counts = cut[by], counts[by]
+    first = np.flatnonzero(np.concatenate([[True], cut[1:] != cut[:-1]]))
+    return tagged(cut[first], length), np.add.reduceat(counts, first)
+
+
+class Slots:
+    """An open-addressing table of tagged keys."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(8, int(len(keys) * 1.6).bit_length())
+        self.place = self._build(keys)  # the slot of each key
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _MIX) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _build(self, keys: np.ndarray) -> np.ndarray:
+        """Fill the table; the slot of each key."""
+        size = 1 << self.bits
+        self.keys, place = np.zeros(size, np.uint64), np.zeros(len(keys), np.int64)
+        todo, slot = np.arange(len(keys)), self._slot(keys)
+        while len(todo):
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = keys[todo[free]]  # of several for a slot the last stays
+            won = self.keys[slot] == keys[todo]
+            place[todo[won]] = slot[won]
+            todo, slot = todo[~won], (slot[~won] + 1) & (size - 1)
+        return place
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Slot of each key, -1 if there is none."""
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        other = np.flatnonzero(there != keys)
+        out = slot
+        if len(other):
+            at, want, there = slot[other], keys[other], there[other]
+            out[other] = -1
+            while True:
+                on = there != 0
+                other, at, want = other[on], (at[on] + 1) & ((1 << self.bits) - 1), want[on]
+                if not len(other):
+                    break
+                there = self.keys[at]
+                hit = there == want
+                out[other[hit]] = at[hit]
+                other, at, want, there = other[~hit], at[~hit], want[~hit], there[~hit]
+        return out
+
+
+class Longest(Slots):
+    """Some of the longest grams with their log10 probabilities."""
+
+    def __init__(self, order: int, grams: np.ndarray, logs: np.ndarray):
+        self.order = order
+        super().__init__(tagged(grams, order + 1))
+        self.logs = np.zeros(1 << self.bits, np.float32)
+        self.logs[self.place] = logs
+
+    def score(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability of each packed symbol that is there (else 0), and whether it is."""
+        slot = self.find(tagged(keys, self.order + 1))
+        known = slot >= 0
+        return np.where(known, self.logs[slot], np.float32(0)).astype(np.float64), known
+
+
+class Trie(Slots):
+    """Scores packed keys; built from grams and counts (longer grams' counts are included in shorter ones).
+
+    What a key's contexts need of the model is the symbols that follow each suffix of its context, with their counts:
+    a trie of those alone scores the key as the whole model does.
+    """
 
     def __init__(self, order: int, keys: np.ndarray, counts: np.ndarray):
         self.order = order
@@ -66,8 +141,8 @@ class Trie:
         by = np.argsort(keys)
         keys, counts = keys[by], counts[by].astype(np.float64)
         length = (keys >> np.uint64(56)).astype(np.int64)
-        self.bits = max(8, int(len(keys) * 1.6).bit_length())
-        place = self._build(keys)
+        super().__init__(keys)
+        place = self.place
         node = np.full(1 << self.bits, -1, np.int32)
         node[place] = np.arange(len(keys), dtype=np.int32)
         # the context of a node, and the same symbol in the context shorter by its first byte
@@ -103,42 +178,6 @@ class Trie:
         self.root_escape = np.log10(kinds[0] / (2 * total[0])) if total[0] else 0.0
         self.unseen = -np.log10(max(1.0, 256 - kinds[0]))
 
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * _MIX) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def _build(self, keys: np.ndarray) -> np.ndarray:
-        """Fill the table; the slot of each key."""
-        size = 1 << self.bits
-        self.keys, place = np.zeros(size, np.uint64), np.zeros(len(keys), np.int64)
-        todo, slot = np.arange(len(keys)), self._slot(keys)
-        while len(todo):
-            free = self.keys[slot] == 0
-            self.keys[slot[free]] = keys[todo[free]]  # of several for a slot the last stays
-            won = self.keys[slot] == keys[todo]
-            place[todo[won]] = slot[won]
-            todo, slot = todo[~won], (slot[~won] + 1) & (size - 1)
-        return place
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Slot of each key, -1 if there is none."""
-        slot = self._slot(keys)
-        there = self.keys[slot]
-        other = np.flatnonzero(there != keys)
-        out = slot
-        if len(other):
-            at, want, there = slot[other], keys[other], there[other]
-            out[other] = -1
-            while True:
-                on = there != 0
-                other, at, want = other[on], (at[on] + 1) & ((1 << self.bits) - 1), want[on]
-                if not len(other):
-                    break
-                there = self.keys[at]
-                hit = there == want
-                out[other[hit]] = at[hit]
-                other, at, want, there = other[~hit], at[~hit], want[~hit], there[~hit]
-        return out
-
     def score(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of each packed symbol in its context."""
         top = self.find(tagged(keys, self.order + 1))
