@@ -46,6 +46,17 @@ def test_recall_on_unclustered_vectors(spark):
     assert np.mean([len({i for i, _ in want[q]} & {i for i, _ in got[q]}) / 5 for q in want]) >= 0.9
 
 
+def test_recall_in_groups_of_near_copies_and_parallel_vectors(spark):
+    rnd = np.random.default_rng(8)
+    near = rnd.normal(size=64) + rnd.normal(size=(2000, 64)) * 0.001
+    line = np.arange(-8.0, 24.0)
+    rows = [(i, v.tolist()) for i, v in enumerate(near)] + [(i, (line * (1 + (i * 7) % 1201)).tolist()) for i in range(2000, 3200)]
+    got = by_query(A.nearest(spark.createDataFrame(rows, "vec_id long, vec array<double>"), F.col("vec_id") % 100 == 0))
+    want = brute([r for r in rows if r[0] < 2000], [r for r in rows if r[0] < 2000 and r[0] % 100 == 0])
+    assert np.mean([len({i for i, _ in want[q]} & {i for i, _ in got[q]}) / 5 for q in want]) >= 0.9
+    assert all([i for i, _ in got[q]] == [i for i in range(2000, 2006) if i != q][:5] for q in range(2000, 3200, 100))
+
+
 def test_equal_vectors_and_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [1.0, 2.0, 0.5]) for i in range(40, 140)] + [(200, [1.0, 2.0, 0.6]), (201, [-1.0, 0.0, 0.0]), (202, [2.0, 4.0, 1.0])]

@@ -1,26 +1,28 @@
 """Approximate nearest neighbours by cosine: NN-descent graph, greedy search.
 
-Graph.  Equal vectors are one node.  Nodes start with the nearest of those in
-their cells of a few random hyperplane partitions (a cell above ``CELL`` nodes
-is split by hash).  Then each round joins the neighbour table with itself:
-every node collects its neighbours and those it is a neighbour of, all pairs
-of them with a new member are compared there, and each node keeps the
+Graph.  Parallel vectors are one node.  Nodes start with the nearest of those
+in their cells of a few random hyperplane partitions (a cell above ``CELL``
+nodes is split by hash).  Then each round joins the neighbour table with
+itself: every node collects its neighbours and those it is a neighbour of, all
+pairs of them with a new member are compared there, and each node keeps the
 ``NEIGHBOURS`` nearest it has heard of.  Rounds end when few edges are new.
 
 Search.  A query starts at its own node's neighbours and keeps a beam of the
-``BEAM`` nearest nodes seen; each round expands the ``EXPAND`` nearest not yet
-expanded by a join with the adjacency table, until a beam has none left.  The
-nearest ``EXACT`` of the beam are scored on the original vectors in double
-precision.
-
-Nodes travel as 8-bit codes with one scale per vector; rounds are written to
-the shared folder.  Per round the shuffles are a constant number of rows per
-node or per query.  A node that is the neighbour of very many hears of the
-``NEIGHBOURS`` nearest of them.
+``BEAM`` nearest nodes seen; each round expands the nearest not yet expanded by
+a join with the adjacency table, until a beam has none left.  A query whose
+beam ends within the rounding error of its k-th best searches again with a
+``WIDER`` times wider one.  All of the beam within that error of the k-th best
+are scored on the original vectors in double precision.
+
+Nodes travel as unit vectors in single precision, whose similarities are right
+to ``_error``; rounds are written to the shared folder.  Per round the shuffles
+are a constant number of rows per node or per query, but a query with very many
+nodes that tie with its k-th best gathers all of them.  A node that is the
+neighbour of very many hears of the ``NEIGHBOURS`` nearest of them.
 
 Defined results: vectors that are null, zero, empty or hold a null or
 non-finite component, and rows without an id, take no part; shorter vectors
-count as continued with zeros; of equal vectors the smaller ids come first;
+count as continued with zeros; of parallel vectors the smaller ids come first;
 fewer candidates than k give all that were found; no rows give no rows.
 Different vectors whose 64-bit hashes agree share a node, but are scored each
 on its own components.
@@ -28,6 +30,7 @@ on its own components.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -40,9 +43,8 @@ from wardstar.llm.common import finite, grouped, matrix, staged, table
 
 NEIGHBOURS = 20
 PARTITIONS, LEAF, CELL = 4, 200, 512
-ROUNDS, SETTLED = 3, 0.05  # rounds of the graph at most; share of new edges at which it is settled
-BEAM, EXPAND, EXACT = 512, 64, 128
-SEARCH_ROUNDS = 64  # a beam settles long before; a guard against endless search
+SETTLED = 0.05  # share of new edges at which the graph is settled
+BEAM, EXPAND, WIDER = 512, 64, 4  # nodes kept and expanded per query; how much wider a search is repeated
 _NONE = -2.0
 
 
@@ -52,31 +54,27 @@ def first(frame: DataFrame, by: list[str], order: list[Column], n: int) -> DataF
     return frame.withColumn("_n", at).where(F.col("_n") <= n).drop("_n")
 
 
-def _codes(batch: pa.RecordBatch | pa.Table, code: str, scale: str, width: int) -> np.ndarray:
-    column = batch.column(code)
-    packed = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    packed = packed.chunk(0) if isinstance(packed, pa.ChunkedArray) else packed
-    raw = np.frombuffer(b"".join(packed.to_pylist()), np.int8).reshape(-1, width).astype(np.float32)
-    return raw * batch.column(scale).to_numpy().astype(np.float32)[:, None]
+def _error(width: int) -> float:
+    """How far a similarity of two unit vectors in single precision may be off."""
+    return (width + 4) * 2.0**-24
+
+
+def _codes(batch: pa.RecordBatch | pa.Table, width: int, code: str = "code") -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column(code).to_pylist()), np.float32).reshape(-1, width)
 
 
 def nodes_of(vectors: DataFrame, width: int) -> DataFrame:
-    """``vectors(node, vec)`` to one row per node: node, code, scale."""
+    """``vectors(node, vec)``, each with a largest component of 1 or -1, to one row per node: node, code."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = matrix(pa.chunked_array([batch.column("vec")]), width).astype(np.float64)
-            rows /= np.abs(rows).max(1, keepdims=True)
-            rows /= np.sqrt((rows * rows).sum(1, keepdims=True))
-            scale = np.abs(rows).max(1) / 127
-            codes = np.round(rows / scale[:, None]).astype(np.int8)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scale.astype(np.float32))], names=["node", "code", "scale"]
-            )
+            rows = matrix(pa.chunked_array([batch.column("vec")]), width)
+            codes = (rows / np.sqrt((rows * rows).sum(1, keepdims=True))).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([c.tobytes() for c in codes], pa.binary())], names=["node", "code"])
 
-    return vectors.groupBy("node").agg(F.min("vec").alias("vec")).mapInArrow(run, "node long, code binary, scale float")
+    return vectors.groupBy("node").agg(F.min("vec").alias("vec")).mapInArrow(run, "node long, code binary")
 
 
 def _edges(src: np.ndarray, dst: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
@@ -98,15 +96,15 @@ def first_graph(nodes: DataFrame, count: int, width: int, k: int, seed: int) ->
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = _codes(batch, "code", "scale", width)
+            rows = _codes(batch, width)
             for i in range(PARTITIONS):
                 cell = ((rows @ planes[i] > 0) @ (1 << np.arange(bits))).astype(np.int64) if bits else np.zeros(len(rows), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(rows), i, np.int32)), pa.array(cell), *(batch.column(c) for c in ("node", "code", "scale"))],
-                    names=["part", "cell", "node", "code", "scale"],
+                    [pa.array(np.full(len(rows), i, np.int32)), pa.array(cell), *(batch.column(c) for c in ("node", "code"))],
+                    names=["part", "cell", "node", "code"],
                 )
 
-    cells = nodes.mapInArrow(cut, "part int, cell long, node long, code binary, scale float")
+    cells = nodes.mapInArrow(cut, "part int, cell long, node long, code binary")
     sizes = cells.groupBy("part", "cell").count().where(F.col("count") > CELL)
     sizes = sizes.select("part", "cell", F.ceil(F.col("count") / CELL).alias("chunks"))
     chunk = F.pmod(F.xxhash64("node", "part"), F.coalesce("chunks", F.lit(1)))
@@ -116,7 +114,7 @@ def first_graph(nodes: DataFrame, count: int, width: int, k: int, seed: int) ->
         for cell in grouped(batches, ("part", "cell", "chunk")):
             if cell.num_rows < 2:
                 continue
-            rows, ids = _codes(cell, "code", "scale", width), cell.column("node").to_numpy()
+            rows, ids = _codes(cell, width), cell.column("node").to_numpy()
             sims = rows @ rows.T
             np.fill_diagonal(sims, _NONE)
             most = min(k, len(ids) - 1)
@@ -145,7 +143,7 @@ def joined_neighbours(graph: DataFrame, nodes: DataFrame, width: int, k: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, ("center",)):
-            rows, ids = _codes(group, "code", "scale", width), group.column("member").to_numpy()
+            rows, ids = _codes(group, width), group.column("member").to_numpy()
             new, limit = group.column("new").to_numpy(), group.column("worst").to_numpy()
             sims = rows @ rows.T
             np.fill_diagonal(sims, _NONE)
@@ -156,88 +154,107 @@ def joined_neighbours(graph: DataFrame, nodes: DataFrame, width: int, k: int) ->
     return members.repartition("center").sortWithinPartitions("center").mapInArrow(run, "src long, dst long, sim float")
 
 
-def neighbour_graph(nodes: DataFrame, count: int, width: int, k: int = NEIGHBOURS, rounds: int = ROUNDS, seed: int = 3) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, count: int, width: int, k: int = NEIGHBOURS, seed: int = 3) -> DataFrame:
     """NN-descent: src, dst, sim, new."""
     graph = staged(_nearest(first_graph(nodes, count, width, k, seed).withColumn("new", F.lit(True)), k), "neighbours")
-    for _ in range(rounds):
+    while True:
         found = joined_neighbours(graph, nodes, width, k).withColumn("new", F.lit(True))
         graph = staged(_nearest(graph.withColumn("new", F.lit(False)).unionAll(found), k), "neighbours")
         edges, new = graph.agg(F.count("*"), F.sum(F.col("new").cast("long"))).first()
         if (new or 0) <= SETTLED * edges:
-            break
-    return graph
+            return graph
 
 
 def _adjacency(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """node, near (ids), codes (concatenated), scales."""
+    """node, near (ids), codes (concatenated)."""
     both = around(graph, k).join(nodes, F.col("member") == F.col("node")).drop("node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, ("center",)):
-            parts = [pa.array([group.column(c).to_pylist()], t) for c, t in (("member", pa.list_(pa.int64())), ("scale", pa.list_(pa.float32())))]
+            near = pa.array([group.column("member").to_pylist()], pa.list_(pa.int64()))
             codes = pa.array([b"".join(group.column("code").to_pylist())], pa.binary())
-            yield pa.RecordBatch.from_arrays([group.column("center").combine_chunks()[:1], parts[0], codes, parts[1]], names=["node", "near", "codes", "scales"])
+            yield pa.RecordBatch.from_arrays([group.column("center").combine_chunks()[:1], near, codes], names=["node", "near", "codes"])
 
     dealt = both.repartition("center").sortWithinPartitions("center")
-    return dealt.mapInArrow(run, "node long, near array<long>, codes binary, scales array<float>")
+    return dealt.mapInArrow(run, "node long, near array<long>, codes binary")
 
 
-def beams(graph: DataFrame, nodes: DataFrame, starts: DataFrame, width: int, k: int = NEIGHBOURS) -> DataFrame:
-    """Greedy search from each node of ``starts(query)``: query, node, sim for its final beam."""
-    spark = graph.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # kept in this partitioning, so that a round only moves what is expanded; rebuilt from the written table if lost
-    links = staged(_adjacency(graph, nodes, k), "adjacency").repartition(partitions, "node").persist()
-    asked = staged(starts.distinct().join(nodes, F.col("query") == F.col("node")).select("query", "code", "scale"), "asked")
+def beams(links: DataFrame, nodes: DataFrame, starts: DataFrame, width: int, size: int = BEAM) -> DataFrame:
+    """Greedy search from each node of ``starts(query)``: query, node, sim for its final beam of at most ``size``."""
+    asked = staged(starts.distinct().join(nodes, F.col("query") == F.col("node")).select("query", "code"), "asked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
             near = batch.column("near")
             sizes = pa.compute.list_value_length(near).to_numpy()
             ids = near.flatten().to_numpy()
-            there = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.int8).reshape(-1, width).astype(np.float32)
-            there *= batch.column("scales").flatten().to_numpy()[:, None]
-            query = np.repeat(_codes(batch, "code", "scale", width), sizes, axis=0)
+            there = _codes(batch, width, "codes")
+            query = np.repeat(_codes(batch, width), sizes, axis=0)
             sims = np.einsum("ij,ij->i", there, query)
             fits = sims > np.repeat(batch.column("worst").to_numpy(), sizes)
             asker = np.repeat(batch.column("query").to_numpy(), sizes)
             yield pa.RecordBatch.from_arrays([pa.array(asker[fits]), pa.array(ids[fits]), pa.array(sims[fits])], names=["query", "node", "sim"])
 
     def expand(frontier: DataFrame) -> DataFrame:
-        rows = frontier.join(asked, "query").join(links, "node").select("query", "code", "scale", "worst", "near", "codes", "scales")
+        rows = frontier.join(asked, "query").join(links, "node").select("query", "code", "worst", "near", "codes")
         return rows.mapInArrow(run, "query long, node long, sim float")
 
     by_query = Window.partitionBy("query")
     begin = asked.select("query", F.col("query").alias("node"), F.lit(_NONE).cast("float").alias("worst"))
     beam = expand(begin).where("node <> query").withColumn("done", F.lit(False))
-    beam = staged(first(beam, ["query"], [F.desc("sim"), F.col("node")], BEAM), "beam")
-    for _ in range(SEARCH_ROUNDS):
-        if beam.where(~F.col("done")).isEmpty():
-            break
+    beam = staged(first(beam, ["query"], [F.desc("sim"), F.col("node")], size), "beam")
+    while not beam.where(~F.col("done")).isEmpty():  # a node that has left a full beam is below its worst and never comes back
         turn = F.row_number().over(Window.partitionBy("query", "done").orderBy(F.desc("sim"), "node"))
-        worst = F.when(F.count("*").over(by_query) >= BEAM, F.min("sim").over(by_query)).otherwise(F.lit(_NONE).cast("float"))
-        ranked = beam.withColumn("go", ~F.col("done") & (turn <= EXPAND)).withColumn("worst", worst)
+        worst = F.when(F.count("*").over(by_query) >= size, F.min("sim").over(by_query)).otherwise(F.lit(_NONE).cast("float"))
+        ranked = beam.withColumn("go", ~F.col("done") & (turn <= EXPAND * size // BEAM)).withColumn("worst", worst)
         found = expand(ranked.where("go").select("query", "node", "worst")).where("node <> query").withColumn("done", F.lit(False))
         every = ranked.select("query", "node", "sim", (F.col("done") | F.col("go")).alias("done")).unionAll(found)
         every = every.groupBy("query", "node").agg(F.max("sim").alias("sim"), F.max("done").alias("done"))
-        beam = staged(first(every, ["query"], [F.desc("sim"), F.col("node")], BEAM), "beam")
-    links.unpersist()
+        beam = staged(first(every, ["query"], [F.desc("sim"), F.col("node")], size), "beam")
     return beam.select("query", "node", "sim")
 
 
+def candidates(graph: DataFrame, nodes: DataFrame, starts: DataFrame, width: int, k: int, size: int = BEAM) -> DataFrame:
+    """query, node: all nodes found for each of ``starts(query)`` that may be among its k nearest."""
+    partitions = int(graph.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # kept in this partitioning, so that a round only moves what is expanded; rebuilt from the written table if lost
+    links = staged(_adjacency(graph, nodes, NEIGHBOURS), "adjacency").repartition(partitions, "node").persist()
+    by_query = Window.partitionBy("query")
+    margin = 2 * _error(width)
+    found = []
+    while True:
+        turn = F.row_number().over(by_query.orderBy(F.desc("sim"), "node"))
+        beam = beams(links, nodes, starts, width, size).withColumn("turn", turn)
+        beam = beam.withColumn("least", F.max(F.when(F.col("turn") == k, F.col("sim").cast("double"))).over(by_query) - margin)
+        tied = (F.count("*").over(by_query) >= size) & (F.min("sim").over(by_query) >= F.col("least"))
+        beam = staged(beam.withColumn("tied", tied).where("least is null or sim >= least").select("query", "node", "tied"), "found")
+        found.append(beam.where("not tied").select("query", "node"))
+        starts = beam.where("tied").select("query").distinct()
+        if starts.isEmpty():
+            break
+        size *= WIDER
+    links.unpersist()
+    return functools.reduce(DataFrame.unionAll, found)
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """``vectors(vec_id, vec)``: query_id, rank, vec_id, score of the k nearest found for each row that is a query."""
     usable = finite(F.col("vec")) & F.exists("vec", lambda x: x != 0)
     rows = vectors.where(F.col("vec_id").isNotNull() & usable).select("vec_id", F.col("vec").cast("array<double>").alias("vec"))
+    # parallel vectors become equal: the largest component is 1 or -1, no zeros at the end, no negative zeros
+    last = F.array_max(F.transform("vec", lambda x, i: F.when(x != 0, i + 1).otherwise(0)))
+    most = F.array_max(F.transform("vec", F.abs))
+    rows = rows.withColumn("last", last).withColumn("most", most).select(
+        "vec_id", F.transform(F.slice("vec", F.lit(1), F.col("last")), lambda x: x / F.col("most") + F.lit(0.0)).alias("vec")
+    )
     rows = staged(rows.withColumn("node", F.xxhash64("vec")), "vectors")
     width = rows.agg(F.max(F.size("vec"))).first()[0] or 1
     nodes = staged(nodes_of(rows, width), "nodes")
     graph = neighbour_graph(nodes, nodes.count(), width)
     queries = rows.where(is_query).distinct()
-    found = beams(graph, nodes, queries.select(F.col("node").alias("query")), width)
-    found = first(found, ["query"], [F.desc("sim"), F.col("node")], EXACT).select("query", "node")
+    found = candidates(graph, nodes, queries.select(F.col("node").alias("query")), width, k)
     found = found.unionAll(queries.select(F.col("node").alias("query"), "node").distinct())
-    # of equal vectors only the k + 1 smallest ids can be among the k nearest
+    # of parallel vectors only the k + 1 smallest ids can be among the k nearest
     members = first(rows, ["node"], [F.col("vec_id")], k + 1)
     pairs = found.join(members, "node").select("query", "vec_id", "vec")
     asked = queries.select(F.col("node").alias("query"), F.col("vec_id").alias("query_id"), F.col("vec").alias("query_vec"))
@@ -248,7 +265,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
             if not batch.num_rows:
                 continue
             a, b = (matrix(pa.chunked_array([batch.column(c)]), width) for c in ("query_vec", "vec"))
-            a, b = (x / np.abs(x).max(1, keepdims=True) if np.abs(x).max() > 1e150 or np.abs(x).max(1).min() < 1e-150 else x for x in (a, b))
             score = np.einsum("ij,ij->i", a, b) / np.sqrt(np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b))
             yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("vec_id"), pa.array(score)], names=["query_id", "vec_id", "score"])
 
