@@ -22,6 +22,21 @@ def test_leaf_blocks():
     assert blocks[0].names == ("top", "nav", "x") and blocks[0].linked == 2 and blocks[1].path == ("article", "p")
 
 
+def test_text_of_broken_and_embedded_markup_stays():
+    assert texts("<p>if a < b then c <d") == ["if a < b then c"] and texts("<p>1 < 2, 3 <4 and <") == ["1 < 2, 3 <4 and <"]
+    assert texts("<p>a</p") == texts("<p>a<!-- b") == texts("<p>a<!b") == ["a"]
+    for tag in ("svg", "object", "video", "audio", "canvas", "noscript", "iframe", "template", "select"):
+        assert texts(f"<p>a</p><{tag} class='x'><p>b</p><p>c") == ["a", "b", "c"], tag
+    for tag in ("svg", "video", "audio", "canvas", "iframe", "template", "select"):
+        assert texts(f"<p>a</p><{tag}><p>no</p></{tag}><p>c") == ["a", "c"], tag
+        assert texts(f"<{tag}><p>a</p><{tag}>no</{tag.upper()} ><p>c</p><{tag}/>d") == ["a", "c", "d"], tag
+        assert texts(f"<{tag}>no<{tag}>no</{tag}>no<script>'</{tag}>'</script>no</{tag}>yes") == ["yes"], tag
+    for tag in ("script", "style", "title", "textarea"):
+        assert texts(f"<p>a</p><{tag}><p>no</p><{tag}>no") == ["a"], tag
+    assert texts("<p>so <math display='inline'><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow></math> holds</p>") == ["so x=1 holds"]
+    assert texts("<p>see <object data='x'>a plan</object> <noscript>or this</noscript></p>") == ["see a plan or this"]
+
+
 def test_held_out_labelled_pages():
     pages = [leaf_blocks(p) for p in labelled_pages(300, seed=99)]
     plain = [[b._replace(text=b.text.removeprefix(X.MARK)) for b in blocks] for blocks in pages]

@@ -9,9 +9,13 @@ from typing import NamedTuple
 #: Tags of HTML by how they take part in the text.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label map mark nobr output picture q rp rt ruby s samp small source span strike "
-    "strong sub sup time tt u var wbr".split()
+    "strong sub sup time tt u var wbr noscript object "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover mmultiscripts "
+    "mprescripts none mtable mtr mlabeledtr mtd maction semantics annotation annotation-xml".split()
 )
-DROPPED = frozenset("script style template noscript iframe object svg math canvas audio video head title textarea select".split())
+RAW = frozenset("script style title textarea".split())  # text up to their end tag, without one to the end of the page
+NESTED = frozenset("template iframe svg canvas audio video select".split())  # without an end tag ordinary content
+DROPPED = RAW | NESTED | {"head"}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening tag ends an open element of these (a paragraph ends at any block).
 CLOSES = {
@@ -24,7 +28,9 @@ SCOPES = frozenset("ul ol dl table body html article section div nav aside foote
 _TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>)""", re.DOTALL)
 _NAME = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 _TOKEN = re.compile(r"[a-z]+")
-_ENDS = {t: re.compile(rf"</{t}\s*>", re.IGNORECASE) for t in DROPPED}
+_ENDS = {t: re.compile(rf"</{t}\s*>", re.IGNORECASE) for t in RAW}
+_HEAD_END = re.compile(r"</head\s*>|(?=<body[\s>])", re.IGNORECASE)
+_UNENDED = re.compile(r"<[a-zA-Z/!]")  # what begins a tag
 
 
 class Block(NamedTuple):
@@ -34,6 +40,26 @@ class Block(NamedTuple):
     linked: int  # characters inside links
 
 
+def _ends(page: str) -> dict[int, int]:
+    """Where the elements of ``NESTED`` that have an end tag end, by the place after their opening tag."""
+    out: dict[int, int] = {}
+    opened: dict[str, list[int]] = {t: [] for t in NESTED}
+    at = 0
+    while match := _TAG.search(page, at):
+        at = match.end()
+        tag = (match[2] or "").lower()
+        if tag in RAW and not match[1] and not match[3].rstrip().endswith("/"):
+            end = _ENDS[tag].search(page, at)
+            at = end.end() if end else len(page)
+        elif tag in NESTED:
+            if match[1]:
+                if opened[tag]:
+                    out[opened[tag].pop()] = at
+            elif not match[3].rstrip().endswith("/"):
+                opened[tag].append(at)
+    return out
+
+
 def leaf_blocks(page: str | None) -> list[Block]:
     """Blocks with text, in page order; malformed markup is read as far as it goes."""
     out: list[Block] = []
@@ -42,6 +68,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked, in_link, at = 0, False, 0
+    ends: dict[int, int] | None = None
 
     def flush() -> None:
         nonlocal linked, in_link
@@ -76,13 +103,14 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if tag in DROPPED:
             if not closing and not match[3].rstrip().endswith("/"):
                 if tag == "head":  # a head without its end lasts until the body
-                    end = re.compile(r"</head\s*>|(?=<body[\s>])", re.IGNORECASE).search(page, at)
-                else:
+                    end = _HEAD_END.search(page, at)
+                    at = end.end() if end else at
+                elif tag in RAW:
                     end = _ENDS[tag].search(page, at)
-                if end:
-                    at = end.end()
-                elif tag != "head":
-                    at = len(page)
+                    at = end.end() if end else len(page)
+                else:
+                    ends = _ends(page) if ends is None else ends
+                    at = ends.get(at, at)
             continue
         flush()
         if closing:
@@ -110,6 +138,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
                         words.append("hidden")
                 names = tuple(words)
             stack.append((tag, names))
-    say(page[at:] if "<" not in page[at:] else page[at:].split("<")[0])
+    cut = _UNENDED.search(page, at)
+    say(page[at : cut.start()] if cut else page[at:])
     flush()
     return out
