@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("mixing", "simhash", "chat", "extraction", "lm", "topk", "toxicity", "packing", "ann", "langid")
+MODULES = ("mixing", "simhash", "chat", "extraction", "lm", "topk", "toxicity", "packing", "ann", "langid", "periodic")
 
 
 def _merged(what: str) -> dict:
