@@ -14,8 +14,10 @@ beam ends within the rounding error of its k-th best searches again with a
 ``WIDER`` times wider one.  All of the beam within that error of the k-th best
 are scored on the original vectors in double precision.
 
-Nodes travel as unit vectors in single precision, whose similarities are right
-to ``_error``; rounds are written to the shared folder.  Per round the shuffles
+Nodes travel as unit vectors in single precision and are compared by distance,
+from products in double precision: the larger the cosine, the smaller it is,
+and it is right to ``ERROR`` however close two vectors are, so that near copies
+are told apart.  Rounds are written to the shared folder.  Per round the shuffles
 are a constant number of rows per node or per query, but a query with very many
 nodes that tie with its k-th best gathers all of them.  A node that is the
 neighbour of very many hears of the ``NEIGHBOURS`` nearest of them.
@@ -45,7 +47,8 @@ NEIGHBOURS = 20
 PARTITIONS, LEAF, CELL = 4, 200, 512
 SETTLED = 0.05  # share of new edges at which the graph is settled
 BEAM, EXPAND, WIDER = 512, 64, 4  # nodes kept and expanded per query; how much wider a search is repeated
-_NONE = -2.0
+_NONE = -3.0  # below the similarity (distance with a minus) of any two unit vectors
+ERROR = 2.0**-21  # of a distance: both vectors and the result are rounded to single precision
 
 
 def first(frame: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
@@ -54,9 +57,17 @@ def first(frame: DataFrame, by: list[str], order: list[Column], n: int) -> DataF
     return frame.withColumn("_n", at).where(F.col("_n") <= n).drop("_n")
 
 
-def _error(width: int) -> float:
-    """How far a similarity of two unit vectors in single precision may be off."""
-    return (width + 4) * 2.0**-24
+def similar(squares: np.ndarray, products: np.ndarray) -> np.ndarray:
+    """Distances with a minus, from sums of both squared lengths and products (in double precision)."""
+    return -np.sqrt(np.maximum(squares - 2 * products, 0)).astype(np.float32)
+
+
+def _all_pairs(rows: np.ndarray) -> np.ndarray:
+    rows = rows.astype(np.float64)
+    squares = np.einsum("ij,ij->i", rows, rows)
+    sims = similar(squares[:, None] + squares[None, :], rows @ rows.T)
+    np.fill_diagonal(sims, _NONE)
+    return sims
 
 
 def _codes(batch: pa.RecordBatch | pa.Table, width: int, code: str = "code") -> np.ndarray:
@@ -115,8 +126,7 @@ def first_graph(nodes: DataFrame, count: int, width: int, k: int, seed: int) ->
             if cell.num_rows < 2:
                 continue
             rows, ids = _codes(cell, width), cell.column("node").to_numpy()
-            sims = rows @ rows.T
-            np.fill_diagonal(sims, _NONE)
+            sims = _all_pairs(rows)
             most = min(k, len(ids) - 1)
             best = np.argpartition(-sims, most - 1, axis=1)[:, :most]
             yield _edges(np.repeat(ids, most), ids[best].ravel(), np.take_along_axis(sims, best, 1).ravel())
@@ -145,8 +155,7 @@ def joined_neighbours(graph: DataFrame, nodes: DataFrame, width: int, k: int) ->
         for group in grouped(batches, ("center",)):
             rows, ids = _codes(group, width), group.column("member").to_numpy()
             new, limit = group.column("new").to_numpy(), group.column("worst").to_numpy()
-            sims = rows @ rows.T
-            np.fill_diagonal(sims, _NONE)
+            sims = _all_pairs(rows)
             a, b = np.nonzero((sims > limit[:, None]) & (new[:, None] | new[None, :]))
             if len(a):
                 yield _edges(ids[a], ids[b], sims[a, b])
@@ -188,9 +197,10 @@ def beams(links: DataFrame, nodes: DataFrame, starts: DataFrame, width: int, siz
             near = batch.column("near")
             sizes = pa.compute.list_value_length(near).to_numpy()
             ids = near.flatten().to_numpy()
-            there = _codes(batch, width, "codes")
-            query = np.repeat(_codes(batch, width), sizes, axis=0)
-            sims = np.einsum("ij,ij->i", there, query)
+            there = _codes(batch, width, "codes").astype(np.float64)
+            query = np.repeat(_codes(batch, width), sizes, axis=0).astype(np.float64)
+            squares = np.einsum("ij,ij->i", there, there) + np.einsum("ij,ij->i", query, query)
+            sims = similar(squares, np.einsum("ij,ij->i", there, query))
             fits = sims > np.repeat(batch.column("worst").to_numpy(), sizes)
             asker = np.repeat(batch.column("query").to_numpy(), sizes)
             yield pa.RecordBatch.from_arrays([pa.array(asker[fits]), pa.array(ids[fits]), pa.array(sims[fits])], names=["query", "node", "sim"])
@@ -220,7 +230,7 @@ def candidates(graph: DataFrame, nodes: DataFrame, starts: DataFrame, width: int
     # kept in this partitioning, so that a round only moves what is expanded; rebuilt from the written table if lost
     links = staged(_adjacency(graph, nodes, NEIGHBOURS), "adjacency").repartition(partitions, "node").persist()
     by_query = Window.partitionBy("query")
-    margin = 2 * _error(width)
+    margin = 2 * ERROR
     found = []
     while True:
         turn = F.row_number().over(by_query.orderBy(F.desc("sim"), "node"))

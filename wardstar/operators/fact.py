@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, hours_between, lit_date
 from ..functions.keys import dense_keys
-from ..session import checkpoint_dir
 from .readmission import readmission_flag
 
 FACT_COLUMNS = (
@@ -119,6 +118,30 @@ def fact_rows(
     )
 
 
+def fact_ids(
+    encounters: DataFrame,
+    dims: dict[str, DataFrame],
+    calendar: tuple[str, str] | None = None,
+    unknown_key: int | None = None,
+) -> DataFrame:
+    """``encounter_id`` of the encounters that get a fact row: what the inner joins of ``fact_rows`` keep, found by
+    semi joins of a few narrow columns."""
+    if unknown_key is not None:
+        return encounters.select("encounter_id")
+    start, end = calendar or (None, None)
+    days = [date_key(F.col(c), start, end).isNotNull() for c in ("encounter_date", "discharge_date")]
+    e = encounters.where(days[0] & days[1])
+    types = dims["dim_encounter_type"].select(F.col("type_name").alias("encounter_type"))
+    for side, on in (
+        (dims["dim_patient"].where("is_current"), "patient_id"),
+        (dims["dim_provider"].where(F.col("specialty_key").isNotNull()), "provider_id"),
+        (dims["dim_department"], "department_id"),
+        (types, "encounter_type"),
+    ):
+        e = e.join(side.select(on), on, "left_semi")
+    return e.select("encounter_id")
+
+
 def fact_encounters(
     src: dict[str, DataFrame],
     dims: dict[str, DataFrame],
@@ -126,10 +149,11 @@ def fact_encounters(
     load_date: str | None = None,
     unknown_key: int | None = None,
 ) -> DataFrame:
-    """Full-load fact, one row per resolvable encounter, keyed densely
-    by ``encounter_id``."""
+    """Full-load fact, one row per resolvable encounter, keyed densely by ``encounter_id`` (which is unique).
+
+    Only the ids are numbered, so what is sorted, stored and read twice for
+    numbering has one column; the map from id to key then joins the rows on the
+    partitioning that their measures use anyway."""
+    keys = dense_keys(fact_ids(src["encounters"], dims, calendar, unknown_key), ["encounter_id"], "encounter_key")
     rows = fact_rows(src["encounters"], src, dims, calendar, load_date, unknown_key=unknown_key)
-    # numbering reads its input twice (range bounds, then rows); the joins behind it run once
-    checkpoint_dir(rows.sparkSession)
-    rows = rows.checkpoint(eager=True)
-    return dense_keys(rows, ["encounter_id"], "encounter_key").select(*FACT_COLUMNS)
+    return rows.join(keys, "encounter_id").select(*FACT_COLUMNS)

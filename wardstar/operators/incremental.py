@@ -14,7 +14,7 @@ affected inpatient stay can flip (D9).
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -175,10 +175,12 @@ def fact_incremental(
     dims: Mapping[str, DataFrame],
     affected: DataFrame,
     as_of: str,
+    last_key: int | Callable[[], int] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(new fact, re-inserted rows).  Re-inserted facts keep their
     ``encounter_key``; encounters new to the fact get keys after the
-    current maximum."""
+    current maximum (``last_key`` if known; then ``fact`` may be any part of
+    the fact that includes the affected encounters, and so is the new fact)."""
     kept = affected_delete(fact, affected)
     part = restrict(src, affected)
     # readmission candidates: only the patients of the affected encounters
@@ -193,7 +195,7 @@ def fact_incremental(
         rows.where(F.col("encounter_key").isNull()).drop("encounter_key"),
         ["encounter_id"],
         "encounter_key",
-        start_after=lambda: max_key(fact, "encounter_key"),
+        start_after=(lambda: max_key(fact, "encounter_key")) if last_key is None else last_key,
     )
     inserted = reused.select(*FACT_COLUMNS).unionByName(fresh.select(*FACT_COLUMNS))
     return kept.select(*FACT_COLUMNS).unionByName(inserted), inserted
@@ -226,8 +228,9 @@ def bridge_px_rebuild(
 
 def replace_rows(table: DataFrame, removed_keys: DataFrame, added: DataFrame) -> DataFrame:
     """``DELETE … WHERE encounter_key IN (removed)`` then ``INSERT added``
-    (S6: the bridge delete reached through the fact's keys)."""
-    kept = table.join(removed_keys, "encounter_key", "left_anti")
+    (S6: the bridge delete reached through the fact's keys); the key is the
+    one column of ``removed_keys``."""
+    kept = table.join(removed_keys, removed_keys.columns[0], "left_anti")
     return kept.unionByName(added.select(*kept.columns))
 
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import OPEN_END_DATE, lit_date, lit_ts
 from ..functions.keys import dense_keys, max_key
+from ..session import checkpoint_dir
 
 
 def attribute_changed(new: Sequence[Column], old: Sequence[Column], null_safe: bool = True) -> Column:
@@ -63,6 +64,27 @@ def type1_upsert(
     return merged.unionByName(keyed.select(*cols))
 
 
+def type1_changes(
+    target: DataFrame,
+    source: DataFrame,
+    natural_key: str,
+    key_col: str,
+    attrs: Sequence[str],
+    start_after: int | Callable[[], int] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``type1_upsert`` as (keys that leave, rows that come): matched rows with a changed attribute, and new ones."""
+    cols = [key_col, natural_key, *attrs]
+    old = target.select(natural_key, F.col(key_col).alias("_ws_key"), *[F.col(a).alias(f"_ws_old_{a}") for a in attrs])
+    j = source.select(natural_key, *attrs).join(old, natural_key, "left")
+    is_new = F.col("_ws_key").isNull()
+    touched = j.where(is_new | attribute_changed([F.col(a) for a in attrs], [F.col(f"_ws_old_{a}") for a in attrs]))
+    touched = _once(touched.select(natural_key, *attrs, "_ws_key"))
+    updated = touched.where(~is_new).withColumnRenamed("_ws_key", key_col)
+    start = (lambda: max_key(target, key_col)) if start_after is None else start_after
+    fresh = dense_keys(touched.where(is_new).drop("_ws_key"), [natural_key], key_col, start_after=start)
+    return updated.select(key_col), updated.select(*cols).unionByName(fresh.select(*cols))
+
+
 def scd2(
     target: DataFrame,
     changes: DataFrame,
@@ -81,6 +103,26 @@ def scd2(
     ``derived`` maps a column to a function of ``as_of`` computed on new
     versions only (the age band).
     """
+    replaced, rows = scd2_changes(target, changes, natural_key, key_col, tracked, as_of, derived, null_safe)
+    return target.join(replaced, key_col, "left_anti").select(*target.columns).unionByName(rows)
+
+
+def scd2_changes(
+    target: DataFrame,
+    changes: DataFrame,
+    natural_key: str,
+    key_col: str,
+    tracked: Sequence[str],
+    as_of: str,
+    derived: Mapping[str, Callable[[Column], Column]] | None = None,
+    null_safe: bool = True,
+    stored: Callable[[DataFrame], DataFrame] | None = None,
+    start_after: int | Callable[[], int] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``scd2`` as (keys that leave, rows that come): closed versions under their key, corrected and new versions.
+
+    ``stored(keys)`` gives rows of the target that include those with ``keys``
+    (default: all); ``start_after`` is the largest key issued."""
     derived = dict(derived or {})
     day = lit_date(as_of)
     cols = target.columns
@@ -93,7 +135,7 @@ def scd2(
     j = changes.select(natural_key, *tracked).join(cur, natural_key, "left")
     is_new = F.col("_ws_key").isNull()
     differs = attribute_changed([F.col(a) for a in tracked], [F.col(f"_ws_old_{a}") for a in tracked], null_safe)
-    touched = j.where(is_new | differs)
+    touched = _once(j.where(is_new | differs).select(natural_key, *tracked, "_ws_key", "_ws_start"))
     same_day = ~is_new & F.coalesce(F.col("_ws_start") == day, F.lit(False))
 
     def version(df: DataFrame) -> DataFrame:
@@ -105,18 +147,25 @@ def scd2(
         )
 
     replaced = touched.where(~is_new).select(F.col("_ws_key").alias(key_col), same_day.alias("_ws_same_day"))
-    kept = target.join(replaced.select(key_col), key_col, "left_anti")
+    closing = replaced.where(~F.col("_ws_same_day")).select(key_col)
     closed = (
-        target.join(replaced.where(~F.col("_ws_same_day")).select(key_col), key_col, "left_semi")
+        (target if stored is None else stored(closing))
+        .join(closing, key_col, "left_semi")
         .withColumn("end_date", F.date_sub(day, 1))
         .withColumn("is_current", F.lit(False))
     )
     corrected = version(touched.where(same_day)).withColumnRenamed("_ws_key", key_col)
     fresh = version(touched.where(~same_day)).drop("_ws_key")
-    fresh = dense_keys(fresh, [natural_key], key_col, start_after=lambda: max_key(target, key_col))
-    return kept.select(*cols).unionByName(closed.select(*cols)).unionByName(corrected.select(*cols)).unionByName(
-        fresh.select(*cols)
-    )
+    start = (lambda: max_key(target, key_col)) if start_after is None else start_after
+    fresh = dense_keys(fresh, [natural_key], key_col, start_after=start)
+    rows = closed.select(*cols).unionByName(corrected.select(*cols)).unionByName(fresh.select(*cols))
+    return replaced.select(key_col), rows
+
+
+def _once(changes: DataFrame) -> DataFrame:
+    """A change set is read several times; the join that found it runs once."""
+    checkpoint_dir(changes.sparkSession)
+    return changes.checkpoint(eager=True)
 
 
 def stamp_changes(
