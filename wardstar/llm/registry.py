@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("mixing", "simhash", "chat", "extraction", "lm", "topk", "toxicity", "packing", "ann", "langid", "resampling", "periodic")
+MODULES = ("mixing", "simhash", "chat", "extraction", "lm", "topk", "toxicity", "packing", "ann", "langid", "resampling", "periodic", "repeats")
 
 
 def _merged(what: str) -> dict:
