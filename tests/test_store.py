@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardstar.operators import quality as Q
+from wardstar.operators.scd import scd2_changes
 from wardstar.plans import etl
-from wardstar.plans.etl import full_refresh, incremental_run
+from wardstar.plans.etl import StoredRun, full_refresh, incremental_run
 from wardstar.plans.star import STAR_TABLES, natural_bridge_dx, natural_bridge_px, natural_fact
 from wardstar.plans.summaries import maintained_state, monthly_summary, summary_state
 from wardstar.session import checkpoint_dir
@@ -149,7 +150,7 @@ def test_vacuum_keeps_what_kept_runs_name(spark):
 
 @pytest.fixture(scope="module")
 def small_blocks(spark, src_small):
-    """A prior load and an incremental run over blocks of 64 keys, so that most blocks are not touched."""
+    """A prior load and an incremental run over blocks of 64 keys."""
     wh = _wh(spark, block_rows=64)
     full_refresh(prior_sources(src_small), wh, PRIOR_AS_OF, PRIOR_WM)
     incremental_run(src_small, wh, AS_OF, NEW_WM)
@@ -175,8 +176,26 @@ def test_dimension_blocks_of_changed_keys_only(spark, small_blocks):
     rewritten = {b.block for b in after if b.run == 2}
     old = {r[0]: r[1:] for r in small_blocks.read("dim_patient", 1).collect()}
     new = {r[0]: r[1:] for r in small_blocks.read("dim_patient", 2).collect()}
-    changed = {k // 64 for k, v in new.items() if old.get(k) != v}
-    assert rewritten == changed and before - rewritten
+    assert before <= {b.block for b in after}
+    assert rewritten == {k // 64 for k, v in new.items() if old.get(k) != v}
+
+
+def test_few_changes_rewrite_few_dimension_blocks(spark):
+    """Type 2 over 640 stored rows: one closed version and one new key touch two of the eleven blocks."""
+    wh = _wh(spark, block_rows=64)
+    dim = spark.range(640).selectExpr(
+        "id as patient_key", "id + 1000 as patient_id", "concat('n', id) as first_name", "date'2000-01-01' as start_date",
+        "date'9999-12-31' as end_date", "true as is_current")
+    wh.write("dim_patient", 1, dim)
+    store = StoredRun(wh, 2, 1, {"dim_patient": wh.read("dim_patient", 1)})
+    changes = spark.createDataFrame([(1100, "new"), (1200, "n200")], "patient_id long, first_name string")  # the second is no change
+    out = store.replace("dim_patient", *scd2_changes(
+        store.prev["dim_patient"], changes, "patient_id", "patient_key", ["first_name"], AS_OF,
+        stored=lambda keys: store.with_keys("dim_patient", keys), start_after=store.last_key("dim_patient")))
+    assert {b.block for b in wh.manifest("dim_patient", 2) if b.run == 2} == {1, 10}
+    assert out.count() == 641 and out.where("is_current").count() == 640
+    got = _rows(out.where("patient_id = 1100").select("patient_key", "first_name", F.col("end_date").cast("string"), "is_current"))
+    assert got == [(100, "n100", "2001-08-01", False), (640, "new", "9999-12-31", True)]
 
 
 def test_summary_reads_no_untouched_block(spark, src_small, monkeypatch):
