@@ -1,7 +1,11 @@
 """Blocks of odd markup, held-out labelled pages, pages given and edge rows."""
 
+import time
+import tracemalloc
 from collections import Counter
 
+import pytest
+
 from conftest import SF_SMALL
 from wardstar.llm import extraction as X
 from wardstar.llm.dom import leaf_blocks
@@ -66,3 +70,28 @@ def test_edges(spark):
     assert all(out[i].text == "Head\n\nSome words of the text, and more of them." for i in (2, 3, 4, 5))
     assert out[6].n_blocks == 20000
     assert X.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page, blocks", [
+    ("<div>x" * 100_000, 100_000),
+    ("<div class='a b'><p>x" * 50_000 + "</q>" * 100_000, 50_000),
+    ("x" + "<a " * 350_000, 1),
+    ("x" + "<a " * 350_000 + ">", 1),
+    ("x" + "<a b='>'" * 100_000 + '"', 1),
+    ("x" + '<a b="' * 150_001 + ">", 1),
+    ("x" + "<head>" * 100_000, 1),
+    ("x<!-- " * 100_000, 1),
+])
+def test_hostile_pages_take_time_and_memory_by_their_size(page, blocks):
+    tracemalloc.start()
+    begin = time.process_time()
+    found = leaf_blocks(page)
+    took, peak = time.process_time() - begin, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == blocks and took < 20 and peak < 200 << 20
+
+
+def test_a_missing_quote_leaves_no_markup():
+    assert texts('<p class="x>Hello world</p><p>more') == ["Hello world", "more"]
+    assert texts("<p title=it's>a</p><p title='a>b'>c</p><p class = \"d>e\">f") == ["a", "c", "f"]
+    assert texts("a<!-- b > c") == ["a"]

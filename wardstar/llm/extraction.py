@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from wardstar.llm.common import table
 from wardstar.llm.crf import Crf, fit, viterbi
-from wardstar.llm.dom import Block, leaf_blocks
+from wardstar.llm.dom import Block, Place, leaf_blocks
 from wardstar.llm.labelled_pages import labelled_pages
 
 DIMS = 1 << 16
@@ -43,13 +43,19 @@ def _number(feature: str) -> int:
 
 
 @functools.lru_cache(maxsize=1 << 12)
-def _of_place(path: tuple[str, ...], names: tuple[str, ...]) -> tuple[int, ...]:
+def _of_place(tags: frozenset[str], names: frozenset[str], tag: str, parent: str) -> tuple[int, ...]:
     """Features of where a block stands."""
-    found = {f"in:{t}" for t in path} | {f"name:{n}" for n in names}
-    found |= {f"tag:{path[-1] if path else ''}", f"parent:{path[-2] if len(path) > 1 else ''}", f"pair:{'>'.join(path[-2:])}", "bias"}
+    found = {f"in:{t}" for t in tags} | {f"name:{n}" for n in names}
+    found |= {f"tag:{tag}", f"parent:{parent}", f"pair:{f'{parent}>{tag}' if parent else tag}", "bias"}
     return tuple(sorted(_number(f) for f in found))
 
 
+def _stands(place: Place | None) -> tuple[int, ...]:
+    if place is None:
+        return _of_place(frozenset(), frozenset(), "", "")
+    return _of_place(place.all_tags, place.all_words, place.tag, place.above.tag if place.above else "")
+
+
 def features(block: Block, place: int, total: int) -> list[int]:
     text = block.text
     size = min(10, len(text).bit_length())
@@ -58,7 +64,7 @@ def features(block: Block, place: int, total: int) -> list[int]:
     found = [f"size:{size}", f"links:{links}", f"both:{size},{links}", "end:" + (tail if tail in ".!?:" else ""), f"at:{4 * place // total}", f"c:{'©' in text[:80]}"]
     if size <= 7:  # what short blocks say
         found += [f"says:{w}" for w in _FIRST.findall(text.lower())[:6]]
-    return [*_of_place(block.path, block.names), *map(_number, found)]
+    return [*_stands(block.place), *map(_number, found)]
 
 
 def _laid_out(pages: list[list[Block]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
