@@ -8,8 +8,8 @@ pairs of them with a new member are compared there, and each node keeps the
 ``NEIGHBOURS`` nearest it has heard of.  Rounds end when few edges are new.
 
 Search.  A query starts at its own node's neighbours and keeps a beam of the
-``BEAM`` nearest nodes seen; each round expands the nearest not yet expanded by
-a join with the adjacency table, until a beam has none left.  A query whose
+``BEAM`` nearest nodes seen; each round expands those not yet expanded by a
+join with the adjacency table, until a beam has none left.  A query whose
 beam ends within the rounding error of its k-th best searches again with a
 ``WIDER`` times wider one.  All of the beam within that error of the k-th best
 are scored on the original vectors in double precision.
@@ -45,8 +45,8 @@ from wardstar.llm.common import finite, grouped, matrix, staged, table
 
 NEIGHBOURS = 20
 PARTITIONS, LEAF, CELL = 4, 200, 512
-SETTLED = 0.05  # share of new edges at which the graph is settled
-BEAM, EXPAND, WIDER = 512, 64, 4  # nodes kept and expanded per query; how much wider a search is repeated
+SETTLED = 0.1  # share of new edges at which the graph is settled
+BEAM, EXPAND, WIDER = 512, 512, 4  # nodes kept and, per round, expanded per query; how much wider a search is repeated
 _NONE = -3.0  # below the similarity (distance with a minus) of any two unit vectors
 ERROR = 2.0**-21  # of a distance: both vectors and the result are rounded to single precision
 
@@ -136,11 +136,18 @@ def first_graph(nodes: DataFrame, count: int, width: int, k: int, seed: int) ->
 
 
 def around(graph: DataFrame, k: int) -> DataFrame:
-    """center, member, new: neighbours and the nearest k that a node is a neighbour of."""
+    """center, member, new: neighbours and the nearest k that a node is a neighbour of; one of both kinds comes twice."""
     back = first(graph, ["dst"], [F.desc("sim"), F.col("src")], k)
     both = graph.select(F.col("src").alias("center"), F.col("dst").alias("member"), "new")
-    both = both.unionAll(back.select(F.col("dst").alias("center"), F.col("src").alias("member"), "new"))
-    return both.groupBy("center", "member").agg(F.max("new").alias("new"))
+    return both.unionAll(back.select(F.col("dst").alias("center"), F.col("src").alias("member"), "new"))
+
+
+def _members(group: pa.Table) -> pa.Table:
+    """The rows of a center, each member once, in order; new if any of its rows is."""
+    ids = group.column("member").to_numpy()
+    different, at, which = np.unique(ids, return_index=True, return_inverse=True)
+    new = np.bincount(which, group.column("new").to_numpy(), len(different)) > 0
+    return group.take(pa.array(at)).drop_columns("new").append_column("new", pa.array(new))
 
 
 def joined_neighbours(graph: DataFrame, nodes: DataFrame, width: int, k: int) -> DataFrame:
@@ -152,7 +159,7 @@ def joined_neighbours(graph: DataFrame, nodes: DataFrame, width: int, k: int) ->
     members = around(graph, k).unionAll(itself).join(known, F.col("member") == F.col("node")).drop("node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in grouped(batches, ("center",)):
+        for group in map(_members, grouped(batches, ("center",))):
             rows, ids = _codes(group, width), group.column("member").to_numpy()
             new, limit = group.column("new").to_numpy(), group.column("worst").to_numpy()
             sims = _all_pairs(rows)
@@ -166,11 +173,14 @@ def joined_neighbours(graph: DataFrame, nodes: DataFrame, width: int, k: int) ->
 def neighbour_graph(nodes: DataFrame, count: int, width: int, k: int = NEIGHBOURS, seed: int = 3) -> DataFrame:
     """NN-descent: src, dst, sim, new."""
     graph = staged(_nearest(first_graph(nodes, count, width, k, seed).withColumn("new", F.lit(True)), k), "neighbours")
+    # each round joins it by node: dealt once, rebuilt from the written table if lost
+    placed = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node").persist()
     while True:
-        found = joined_neighbours(graph, nodes, width, k).withColumn("new", F.lit(True))
+        found = joined_neighbours(graph, placed, width, k).withColumn("new", F.lit(True))
         graph = staged(_nearest(graph.withColumn("new", F.lit(False)).unionAll(found), k), "neighbours")
         edges, new = graph.agg(F.count("*"), F.sum(F.col("new").cast("long"))).first()
         if (new or 0) <= SETTLED * edges:
+            placed.unpersist()
             return graph
 
 
@@ -179,7 +189,7 @@ def _adjacency(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     both = around(graph, k).join(nodes, F.col("member") == F.col("node")).drop("node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in grouped(batches, ("center",)):
+        for group in map(_members, grouped(batches, ("center",))):
             near = pa.array([group.column("member").to_pylist()], pa.list_(pa.int64()))
             codes = pa.array([b"".join(group.column("code").to_pylist())], pa.binary())
             yield pa.RecordBatch.from_arrays([group.column("center").combine_chunks()[:1], near, codes], names=["node", "near", "codes"])
@@ -209,18 +219,23 @@ def beams(links: DataFrame, nodes: DataFrame, starts: DataFrame, width: int, siz
         rows = frontier.join(asked, "query").join(links, "node").select("query", "code", "worst", "near", "codes")
         return rows.mapInArrow(run, "query long, node long, sim float")
 
-    by_query = Window.partitionBy("query")
-    begin = asked.select("query", F.col("query").alias("node"), F.lit(_NONE).cast("float").alias("worst"))
-    beam = expand(begin).where("node <> query").withColumn("done", F.lit(False))
-    beam = staged(first(beam, ["query"], [F.desc("sim"), F.col("node")], size), "beam")
-    while not beam.where(~F.col("done")).isEmpty():  # a node that has left a full beam is below its worst and never comes back
-        turn = F.row_number().over(Window.partitionBy("query", "done").orderBy(F.desc("sim"), "node"))
-        worst = F.when(F.count("*").over(by_query) >= size, F.min("sim").over(by_query)).otherwise(F.lit(_NONE).cast("float"))
-        ranked = beam.withColumn("go", ~F.col("done") & (turn <= EXPAND * size // BEAM)).withColumn("worst", worst)
-        found = expand(ranked.where("go").select("query", "node", "worst")).where("node <> query").withColumn("done", F.lit(False))
-        every = ranked.select("query", "node", "sim", (F.col("done") | F.col("go")).alias("done")).unionAll(found)
-        every = every.groupBy("query", "node").agg(F.max("sim").alias("sim"), F.max("done").alias("done"))
-        beam = staged(first(every, ["query"], [F.desc("sim"), F.col("node")], size), "beam")
+    by_query, by_done = Window.partitionBy("query"), Window.partitionBy("query", "done")
+    nearest_first = [F.desc("sim"), F.col("node")]
+    none = F.lit(_NONE).cast("float")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        """The beam after a round, which of it the next one expands, and what that must beat; one shuffle serves all steps."""
+        once = found.repartition("query").groupBy("query", "node").agg(F.max("sim").alias("sim"), F.max("done").alias("done"))
+        kept = first(once, ["query"], nearest_first, size)
+        go = ~F.col("done") & (F.row_number().over(by_done.orderBy(*nearest_first)) <= EXPAND * size // BEAM)
+        worst = F.when(F.count("*").over(by_query) >= size, F.min("sim").over(by_query)).otherwise(none)
+        return staged(kept.withColumn("go", go).withColumn("worst", worst), "beam")
+
+    begin = asked.select("query", F.col("query").alias("node"), none.alias("worst"))
+    beam = ranked(expand(begin).where("node <> query").withColumn("done", F.lit(False)))
+    while not beam.where("go").isEmpty():  # a node that has left a full beam is below its worst and never comes back
+        found = expand(beam.where("go").select("query", "node", "worst")).where("node <> query").withColumn("done", F.lit(False))
+        beam = ranked(beam.select("query", "node", "sim", F.expr("done or go").alias("done")).unionAll(found))
     return beam.select("query", "node", "sim")
 
 
