@@ -97,3 +97,22 @@ def test_texts_without_any_known_language(spark, tmp_path):
     rows = [(1, "words é", None, None, 1), (2, "12", None, None, 2), (3, None, None, None, None)]
     docs = spark.createDataFrame(rows, COLUMNS)
     assert ids(P.language_id(spark, docs, str(tmp_path))) == Counter([1])
+
+
+def test_columns_named_like_those_of_the_operators(spark, corpus):
+    path, _ = corpus
+    names = ["lang_pred", "Score", "size", "source_size", "target", "copies", "taken", "_key", "_hash", "_n", "_copy", "kept_0", "a.b"]
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    mine = docs.selectExpr("*", *[f"concat('{n} of ', doc_id, ' ', crc32(text)) as `{n}`" for n in names])
+    plain = docs
+    for name, stage in P.STAGES[:-1]:
+        mine, plain = stage(spark, mine, path), stage(spark, plain, path)
+        assert mine.columns == [*docs.columns, *names]
+        rows = mine.collect()
+        assert Counter(r.doc_id for r in rows) == ids(plain)
+        for r in rows:
+            crc = None if r.text is None or r.doc_id is None else zlib.crc32(r.text.encode())
+            assert [r[n] for n in names] == [None if crc is None else f"{n} of {r.doc_id} {crc}" for n in names]
+        mine = spark.createDataFrame(rows, mine.schema)
+        plain = spark.createDataFrame(plain.collect(), plain.schema)
+    assert P.STAGES[-1][1](spark, mine, path).count()
