@@ -71,3 +71,17 @@ def test_equal_vectors_and_edges(spark):
     assert [i for i, _ in by_query(A.nearest(two, F.col("vec_id") % 50 == 0))[0]] == [1]
     one = spark.createDataFrame([(0, [1.0, 0.0])], df.schema)
     assert A.nearest(one, F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_rows_of_the_adjacency_are_short(spark):
+    rnd = np.random.default_rng(5)
+    codes = [(i, bytes(v.tobytes())) for i, v in enumerate(rnd.normal(size=(30, 8)).astype(np.float32))]
+    nodes = spark.createDataFrame(codes, "node long, code binary")
+    edges = [(a, b, 0.0 - b, False) for a in range(30) for b in range(20) if a != b]
+    graph = spark.createDataFrame(edges, "src long, dst long, sim float, new boolean")
+    rows, around = A._adjacency(graph, nodes, 20).collect(), {}
+    for r in A.around(graph, 20).collect():
+        around.setdefault(r.center, set()).add(r.member)
+    code = dict(codes)
+    assert all(len(r.near) <= A.NEAR and bytes(r.codes) == b"".join(code[i] for i in r.near) for r in rows)
+    assert {r.node: sorted(i for o in rows if o.node == r.node for i in o.near) for r in rows} == {n: sorted(x) for n, x in around.items()}

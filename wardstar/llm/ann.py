@@ -47,6 +47,7 @@ NEIGHBOURS = 20
 PARTITIONS, LEAF, CELL = 4, 200, 512
 SETTLED = 0.1  # share of new edges at which the graph is settled
 BEAM, EXPAND, WIDER = 512, 512, 4  # nodes kept and, per round, expanded per query; how much wider a search is repeated
+NEAR = 4  # members in a row of the adjacency: its rows travel to Python in batches of a fixed number of rows
 _NONE = -3.0  # below the similarity (distance with a minus) of any two unit vectors
 ERROR = 2.0**-21  # of a distance: both vectors and the result are rounded to single precision
 
@@ -185,14 +186,16 @@ def neighbour_graph(nodes: DataFrame, count: int, width: int, k: int = NEIGHBOUR
 
 
 def _adjacency(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """node, near (ids), codes (concatenated)."""
+    """node, near (ids), codes (concatenated): the members of a node in rows of at most ``NEAR``."""
     both = around(graph, k).join(nodes, F.col("member") == F.col("node")).drop("node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in map(_members, grouped(batches, ("center",))):
-            near = pa.array([group.column("member").to_pylist()], pa.list_(pa.int64()))
-            codes = pa.array([b"".join(group.column("code").to_pylist())], pa.binary())
-            yield pa.RecordBatch.from_arrays([group.column("center").combine_chunks()[:1], near, codes], names=["node", "near", "codes"])
+            ids, codes, starts = group.column("member").to_pylist(), group.column("code").to_pylist(), range(0, group.num_rows, NEAR)
+            node = pa.array(group.column("center").to_pylist()[: len(starts)], pa.int64())
+            near = pa.array([ids[at : at + NEAR] for at in starts], pa.list_(pa.int64()))
+            joined = pa.array([b"".join(codes[at : at + NEAR]) for at in starts], pa.binary())
+            yield pa.RecordBatch.from_arrays([node, near, joined], names=["node", "near", "codes"])
 
     dealt = both.repartition("center").sortWithinPartitions("center")
     return dealt.mapInArrow(run, "node long, near array<long>, codes binary")
