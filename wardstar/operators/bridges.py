@@ -23,8 +23,8 @@ def bridge_dx(encounter_diagnoses: DataFrame, fact: DataFrame, dim_diagnosis: Da
     )
     keys = dim_diagnosis.select("diagnosis_id", "diagnosis_key")
     return (
-        per_pair.join(keys, "diagnosis_id")
-        .join(fact.select("encounter_id", "encounter_key"), "encounter_id")
+        per_pair.join(fact.select("encounter_id", "encounter_key"), "encounter_id")
+        .join(keys, "diagnosis_id")
         .select("encounter_key", "diagnosis_key", "diagnosis_sequence")
     )
 
@@ -43,7 +43,7 @@ def bridge_px(
     )
     keys = dim_procedure.select("procedure_id", "procedure_key")
     return (
-        per_pair.join(keys, "procedure_id")
-        .join(fact.select("encounter_id", "encounter_key"), "encounter_id")
+        per_pair.join(fact.select("encounter_id", "encounter_key"), "encounter_id")
+        .join(keys, "procedure_id")
         .select("encounter_key", "procedure_key", "procedure_date_key")
     )

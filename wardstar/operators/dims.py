@@ -59,10 +59,10 @@ def calendar_bounds(src: Mapping[str, DataFrame], cover: tuple[str, str] = REFER
         ("encounter_procedures", ("procedure_date",)),
         ("billing", ("claim_date",)),
     ):
-        for c in cols:
-            part = src[table].select(F.col(c).cast("date").alias("d"))
-            dates = part if dates is None else dates.unionByName(part)
-    row = dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
+        days = F.array(*[F.col(c).cast("date") for c in cols])
+        part = src[table].select(F.array_min(days).alias("lo"), F.array_max(days).alias("hi"))
+        dates = part if dates is None else dates.unionByName(part)
+    row = dates.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
     start = _dt.date.fromisoformat(cover[0])
     end = _dt.date.fromisoformat(cover[1])
     if row["lo"] is not None:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import CALENDAR_EPOCH, DEFAULT_WATERMARK, lit_date, lit_ts
 from ..functions.keys import dense_keys, max_key
-from ..session import checkpoint_dir
+from ..session import staged
 from .bridges import bridge_dx, bridge_px
 from .fact import FACT_COLUMNS, fact_rows
 from .readmission import READMISSION_DAYS, READMISSION_TYPE, readmission_flag
@@ -145,6 +145,7 @@ def widen_for_readmission(
     )
     if fact is not None and dims is not None:
         cands = cands.unionByName(old_inpatient_versions(fact, dims, affected))
+    cands = staged(cands, "candidates")  # for their patients and for their times
     probes = (
         e.join(cands.select("patient_id").distinct(), "patient_id", "left_semi")
         .select("encounter_id", "patient_id", "discharge_date", "encounter_date")
@@ -183,13 +184,13 @@ def fact_incremental(
     the fact that includes the affected encounters, and so is the new fact)."""
     kept = affected_delete(fact, affected)
     part = restrict(src, affected)
+    part["encounters"] = staged(part["encounters"], "encounters")  # probes of several kinds, and their patients
     # readmission candidates: only the patients of the affected encounters
     cands = src["encounters"].join(part["encounters"].select("patient_id").distinct(), "patient_id", "left_semi")
     rows = fact_rows(part["encounters"], part, dims, None, as_of, all_encounters=cands)
     old_keys = fact.select("encounter_id", "encounter_key").join(affected, "encounter_id", "left_semi")
-    checkpoint_dir(fact.sparkSession)
     # materialised once, then split into kept-key and new-key rows
-    rows = rows.join(old_keys, "encounter_id", "left").checkpoint(eager=True)
+    rows = staged(rows.join(old_keys, "encounter_id", "left"), "reinserted")
     reused = rows.where(F.col("encounter_key").isNotNull())
     fresh = dense_keys(
         rows.where(F.col("encounter_key").isNull()).drop("encounter_key"),

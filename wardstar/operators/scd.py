@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import OPEN_END_DATE, lit_date, lit_ts
 from ..functions.keys import dense_keys, max_key
-from ..session import checkpoint_dir
+from ..session import staged
 
 
 def attribute_changed(new: Sequence[Column], old: Sequence[Column], null_safe: bool = True) -> Column:
@@ -164,8 +164,7 @@ def scd2_changes(
 
 def _once(changes: DataFrame) -> DataFrame:
     """A change set is read several times; the join that found it runs once."""
-    checkpoint_dir(changes.sparkSession)
-    return changes.checkpoint(eager=True)
+    return staged(changes, "changes")
 
 
 def stamp_changes(

@@ -27,7 +27,7 @@ from ..operators import incremental as I
 from ..operators import scd
 from ..operators.dims import PATIENT_ATTRS
 from ..functions.dates import age_group, lit_ts
-from ..session import checkpoint_dir
+from ..session import staged
 from ..sources.snapshots import Warehouse
 from ..sources.schemas import check_sources
 from .star import STAR_TABLES, build_star
@@ -93,7 +93,7 @@ def incremental_tables(
     """Plan one incremental run over the previous star ``prev``.
 
     ``store`` says where stored rows come from and new ones go (default:
-    ``prev`` itself, everything stays lazy).  Returns the new tables and, by
+    ``prev`` itself, the fact and the bridges stay lazy).  Returns the new tables and, by
     ``removed`` and ``inserted``, the fact rows deleted and (re)inserted."""
     store = store or Unstored(prev)
     sink = store.write
@@ -146,13 +146,12 @@ def incremental_tables(
         derived={"age_group": lambda day: age_group(F.col("date_of_birth"), day)}, null_safe=null_safe,
         stored=lambda keys: store.with_keys("dim_patient", keys), start_after=store.last_key("dim_patient")))
 
-    checkpoint_dir(src["encounters"].sparkSession)
     affected = I.affected_set(src, cutoff).unionByName(I.late_dimension_dependents(src, prev, out)).distinct()
     if widen:
-        affected = affected.checkpoint(eager=True)  # read several times below
+        affected = staged(affected, "affected")  # read several times below
         affected = I.widen_for_readmission(affected, src, store.with_ids("fact_encounters", affected), out)
     # one frozen encounter set for delete, re-insert and both bridges
-    affected = affected.checkpoint(eager=True)
+    affected = staged(affected, "affected")
 
     prev_fact = store.with_ids("fact_encounters", affected)
     removed = prev_fact.join(affected, "encounter_id", "left_semi")
@@ -160,7 +159,7 @@ def incremental_tables(
         prev_fact, src, out, affected, as_of, last_key=store.last_key("fact_encounters")
     )
     reloaded = removed.select("encounter_key").unionByName(inserted.select("encounter_key")).distinct()
-    reloaded = reloaded.checkpoint(eager=True)
+    reloaded = staged(reloaded, "reloaded")
     dx = I.bridge_dx_rebuild(inserted, src["encounter_diagnoses"], out["dim_diagnosis"], affected)
     px = I.bridge_px_rebuild(inserted, src["encounter_procedures"], out["dim_procedure"], affected)
     out["fact_encounters"] = store.replace("fact_encounters", reloaded, inserted)
@@ -170,14 +169,15 @@ def incremental_tables(
 
 
 class Unstored:
-    """Rows of the previous star's frames; new tables are frames, too."""
+    """Rows of the previous star's frames; new tables are frames, too.  Dimensions, which later tables read several
+    times, are staged."""
 
     def __init__(self, prev: Mapping[str, DataFrame]):
         self.prev = prev
 
     def write(self, table: str, rows: DataFrame) -> DataFrame:
         """``rows`` as the whole new table."""
-        return rows
+        return staged(rows, table)
 
     def with_keys(self, table: str, keys: DataFrame) -> DataFrame:
         """Rows of the table that include all with the keys."""
@@ -193,7 +193,8 @@ class Unstored:
 
     def replace(self, table: str, removed: DataFrame, added: DataFrame) -> DataFrame:
         """The table without the rows of keys ``removed``, with ``added``."""
-        return I.replace_rows(self.prev[table], removed, added)
+        rows = I.replace_rows(self.prev[table], removed, added)
+        return staged(rows, table) if table.startswith("dim_") else rows
 
 
 class StoredRun(Unstored):

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "wardstar") -> SparkSession:
@@ -51,3 +52,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     else:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at the cluster's shared folder")
     return sc.getCheckpointDir()
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    For rows that are read several times: they are found once, later reads
+    take the columns they need, and the planner knows their size.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
