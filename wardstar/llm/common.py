@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,7 @@ WORD_RE = re.compile(WORD)
 #: Lower-casing of the contracts: A-Z only, whatever the locale.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ASCII_LOWER = str.maketrans(_UPPER, _LOWER)
+BATCH_BYTES = 4 << 20  # of texts that a task passes to Python at once
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +41,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``; from now on its session hands Python functions at most ``BATCH_BYTES`` of rows at once, or one row.
+
+    Spark's own bound is 10,000 rows or 64 MB, which each task holds several
+    times: while it fills the batch, while it sends it and in the function.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return docs
+
+
+_HELD: dict[str, object] = {}
+
+
+def worker_held(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` returns, kept for the later tasks of a Python worker until another name is asked for."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """The contracts' fold of a document: CRC-32 of its id as text, modulo ``modulus`` (null id: null)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)

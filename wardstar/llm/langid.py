@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import fold, table
+from wardstar.llm.common import fold, small_batches, table, worker_held
 from wardstar.llm.crf import Crf, fit, marginals
 
 DIMS = 1 << 17
@@ -41,8 +41,8 @@ PIECES, RUN = 5, 24
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 _BREAK = re.compile(r"[\n.!?]+")
-_CACHE = 1 << 18  # words whose emissions a task keeps
-_WORDS = 1 << 18  # words labelled at once, but for a longer document
+_CACHE = 1 << 16  # words whose emissions a worker keeps
+_WORDS = 1 << 16  # words labelled at once, but for a longer document
 
 
 _BASE, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
@@ -158,40 +158,34 @@ class Labeller:
     def texts(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text."""
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        held: list[tuple[int, list[list[str]]]] = []
+        waiting: list[tuple[int, list[list[str]]]] = []
 
         def done() -> None:
-            every = self.words([line for _, lines in held for line in lines])
-            sizes = np.array([sum(map(len, lines)) for _, lines in held])
+            every = self.words([line for _, lines in waiting for line in lines])
+            sizes = np.array([sum(map(len, lines)) for _, lines in waiting])
             sums = np.add.reduceat(every, np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
-            for (row, _), total, size in zip(held, sums, sizes):
+            for (row, _), total, size in zip(waiting, sums, sizes):
                 best = int(total.argmax())
                 langs[row], scores[row] = self.names[best], min(1.0, float(total[best] / size))
-            held.clear()
+            waiting.clear()
 
         words = 0
         for row, text in enumerate(texts):
             lines = sentences(text)
             if any(c.isalpha() for line in lines for w in line for c in w):  # the first, as a rule
-                held.append((row, lines))
+                waiting.append((row, lines))
                 words += sum(map(len, lines))
                 if words >= _WORDS:
                     done()
                     words = 0
-        if held:
+        if waiting:
             done()
         return langs, scores
 
 
-_LABELLERS: dict[str, Labeller] = {}
-
-
 def _labeller(name: str, parts: tuple) -> Labeller:
     """One per Python worker, so that its cache serves all tasks there."""
-    if name not in _LABELLERS:
-        _LABELLERS.clear()
-        _LABELLERS[name] = Labeller(*parts)
-    return _LABELLERS[name]
+    return worker_held(f"labeller {name}", lambda: Labeller(*parts))
 
 
 def train(docs: DataFrame, quota: int = QUOTA) -> tuple[list[str], Crf | None]:
@@ -220,7 +214,7 @@ def identify(docs: DataFrame, names: list[str], model: Crf | None) -> DataFrame:
             langs, scores = labeller.texts(texts) if labeller else ([UNKNOWN] * len(texts), [0.0] * len(texts))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return small_batches(docs).select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, f"{schema}, lang_pred string, score double")
 
 
 def op10_language_id(spark, sf_dir):

@@ -36,12 +36,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import grouped, staged, table
+from wardstar.llm.common import grouped, small_batches, staged, table, worker_held
 
 WINDOW = 2048
 END_ID = 1
 GROUP = 1 << 12  # rests packed together
-_CACHE = 1 << 19  # words whose ids a task keeps
+_CACHE = 1 << 19  # words whose ids a worker keeps
 _TAIL = b".,;:!?*#$%&|)"
 
 
@@ -111,13 +111,9 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def _encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """One per Python worker, so that its words serve all tasks there."""
+    return worker_held(f"encoder {path}", lambda: Encoder(path))
 
 
 # ------------------------------------------------------------------ minimum bin slack on a table of lengths
@@ -222,7 +218,7 @@ def encoded_pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int
                     names=["doc_id", "doc_tokens", "start", "ids"],
                 )
 
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    rows = small_batches(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(run, f"doc_id {kind}, doc_tokens long, start long, ids binary")
 
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import different, grouped, staged, table
+from wardstar.llm.common import different, grouped, small_batches, staged, table
 from wardstar.llm.components import components
 
 SEED = 42
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
                 names=["doc_id", "text_hash", "fp"],
             )
 
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
+    rows = small_batches(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long")
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import different, fold, table
+from wardstar.llm.common import different, fold, small_batches, table
 
 DIMS = 1 << 18
 SAMPLE = 12_000  # labelled documents fitted on, at most
@@ -142,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """Fit on at most ``sample`` of the labelled documents (doc_id, text); labels: doc_id, toxic."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
+    rows = small_batches(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()
@@ -164,14 +164,14 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, model = Terms(), Machine(*shared.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 found = [terms(x) for x in part.column("text").to_pylist()]
                 begins = np.cumsum([0, *map(len, found)])
                 scores = logistic(model.margins(np.concatenate(found), begins))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(scores)], names=[*keep, "score"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, f"{schema}, score double")
+    return small_batches(docs).select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, f"{schema}, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held_out) -> DataFrame:
